@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpuscle.llm import bpe, exact_dedup, langid, mixing, simhash
+from corpuscle.llm import bpe, exact_dedup, kn_lm, langid, line_dedup, mixing, pivot_search, sharding, simhash, url_templates
 from corpuscle.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,30 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "source", "epoch")
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kn_lm.score(table(spark, sf_dir, "documents"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judged(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -33,7 +53,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = [op1_simhash_near_dedup, op3_mixing, op8_language_id, op9_bpe, op10_exact_dedup]
+    found = [
+        op1_simhash_near_dedup, op2_line_dedup, op3_mixing, op4_lm_scoring, op5_url_filter, op6_exact_top_k, op7_sharding, op8_language_id, op9_bpe, op10_exact_dedup
+    ]
     return {f.__name__: f for f in found}
 
 
@@ -54,6 +76,27 @@ with d as (
 select doc_id, source, unnest(range(1, copies::bigint + 1)) as epoch from k
 """
 
+_LINES = """
+with d as (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null),
+w as (select doc_id, unnest(range(1, len(lines) - 1)) as pos, lines from d where len(lines) > 2),
+x as (select doc_id, pos, lines[pos] || chr(10) || lines[pos + 1] || chr(10) || lines[pos + 2] as win from w
+      where trim(lines[pos]) <> '' or trim(lines[pos + 1]) <> '' or trim(lines[pos + 2]) <> ''),
+later as (select doc_id, pos from (select doc_id, pos, row_number() over (partition by win order by doc_id, pos) as rn from x) where rn > 1),
+gone as (select distinct doc_id, unnest([pos, pos + 1, pos + 2]) as pos from later),
+each as (select doc_id, unnest(lines) as line, unnest(range(1, len(lines) + 1)) as pos from d where doc_id in (select doc_id from gone)),
+kept as (select e.doc_id, string_agg(e.line, chr(10) order by e.pos) filter (where g.pos is null) as text
+         from each e left join gone g on e.doc_id = g.doc_id and e.pos = g.pos group by e.doc_id)
+select d.doc_id, case when k.doc_id is null then d.text else coalesce(k.text, '') end as text from documents d left join kept k on d.doc_id = k.doc_id
+"""
+
+_TOP_K = """
+with n as (select vec_id, embedding::double[] as v from embeddings),
+u as (select vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) as v from n),
+p as (select a.vec_id, b.vec_id as neighbor_id, round(list_dot_product(a.v, b.v), 6) as similarity from u a join u b on a.vec_id <> b.vec_id),
+r as (select *, row_number() over (partition by vec_id order by similarity desc, neighbor_id)::int as rank from p)
+select vec_id, neighbor_id, rank, similarity from r where rank <= 10
+"""
+
 _EXACT = """
 select doc_id, first_id as duplicate_of
 from (select doc_id, min(doc_id) over (partition by text) as first_id from documents where text is not null)
@@ -62,4 +105,4 @@ where doc_id <> first_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": _MIXING, "op10_exact_dedup": _EXACT}
+    return {"op2_line_dedup": _LINES, "op3_mixing": _MIXING, "op6_exact_top_k": _TOP_K, "op10_exact_dedup": _EXACT}

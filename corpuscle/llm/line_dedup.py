@@ -20,16 +20,21 @@ LINES = 3
 
 def _windows(text: Column) -> Column:
     """Per window of a text (a, b, pos); windows of blank lines only are left out."""
-    hashes = F.transform(F.split(text, "\n", -1), lambda x: F.when(F.trim(x) == "", F.lit(None)).otherwise(F.xxhash64(x)))
-    last = F.size(hashes) - LINES
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.when(F.trim(x) == "", F.lit(None)).otherwise(F.xxhash64(x)))
 
-    def window(p: Column) -> Column:
-        h = [F.get(hashes, p + i) for i in range(LINES)]
-        return F.when(
-            F.coalesce(*h).isNotNull(), F.struct(F.xxhash64(*h).alias("a"), F.xxhash64(*h[::-1], F.lit("b"), *[x.isNull() for x in h]).alias("b"), p.alias("pos"))
-        )
+    def all_of(hashes: Column) -> Column:
+        last = F.size(hashes) - LINES
 
-    return F.when(last >= 0, F.filter(F.transform(F.sequence(F.lit(0), last), window), lambda w: w.isNotNull()))
+        def window(p: Column) -> Column:
+            h = [F.get(hashes, p + i) for i in range(LINES)]
+            return F.when(
+                F.coalesce(*h).isNotNull(), F.struct(F.xxhash64(*h).alias("a"), F.xxhash64(*h[::-1], F.lit("b"), *[x.isNull() for x in h]).alias("b"), p.alias("pos"))
+            )
+
+        return F.when(last >= 0, F.filter(F.transform(F.sequence(F.lit(0), last), window), lambda w: w.isNotNull()))
+
+    # bound to a variable, as an inner lambda would split and hash the whole text again for every window
+    return F.get(F.transform(F.array(lines), all_of), F.lit(0))
 
 
 def _cut(texts: pd.Series, positions: pd.Series, repeated: pd.Series) -> pd.Series:

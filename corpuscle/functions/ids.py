@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Relations without direction: their endpoints are stored in order.
 SYMMETRIC = ("duplicate", "clause_reuse", "translation", "semantic_kin", "weak_link", "similar_to", "same_instrument_as")
@@ -27,7 +28,7 @@ def _slug(x: str | None) -> str | None:
     return re.sub("[^0-9a-z]+", "_", plain).strip("_") or "unknown"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def slug(text: pd.Series) -> pd.Series:
     """ASCII identifier of a label; "unknown" if nothing is left."""
     seen = {x: _slug(x) for x in text.unique()}

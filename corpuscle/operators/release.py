@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,6 +144,10 @@ CONTRACTS: dict[str, dict[str, dict]] = {
 }
 
 
+def _breaks(pattern: str) -> Callable[[Column], Column]:
+    return lambda x: ~x.rlike(pattern)
+
+
 def violations(df: DataFrame, contract: str | dict, key: str) -> DataFrame:
     """(key, column, rule) for every constraint that a row breaks, over all rows in one pass; a missing column breaks "present"."""
     rules = CONTRACTS[contract] if isinstance(contract, str) else contract
@@ -164,7 +170,7 @@ def violations(df: DataFrame, contract: str | dict, key: str) -> DataFrame:
             if "max" in rule:
                 broken["max"] = c > rule["max"]
             if "items" in rule and isinstance(df.schema[name].dataType, T.ArrayType):
-                broken["items"] = F.exists(c, lambda x, p=rule["items"]: ~x.rlike(p))
+                broken["items"] = F.exists(c, _breaks(rule["items"]))
         found += [F.when(when, F.struct(F.lit(name).alias("column"), F.lit(r).alias("rule"))) for r, when in broken.items()]
     return df.select(F.col(key).cast("string").alias("key"), F.inline(F.array_compact(F.array(*found))))
 

@@ -103,7 +103,12 @@ def document_summary(pages: DataFrame) -> DataFrame:
 
 def facets(docs: DataFrame, columns: list[str]) -> DataFrame:
     """(facet, value, n): the distinct values of columns, arrays by element, with how many documents have them."""
-    one = [F.transform(F.array_compact(F.col(c) if docs.schema[c].dataType.typeName() == "array" else F.array(c)), lambda v, c=c: F.struct(F.lit(c).alias("facet"), v.cast("string").alias("value"))) for c in columns]
+
+    def values(c: str) -> Column:
+        own = F.col(c) if docs.schema[c].dataType.typeName() == "array" else F.array(c)
+        return F.transform(F.array_compact(own), lambda v: F.struct(F.lit(c).alias("facet"), v.cast("string").alias("value")))
+
+    one = [values(c) for c in columns]
     return docs.select(F.inline(F.concat(*one))).groupBy("facet", "value").agg(F.count("*").alias("n"))
 
 

@@ -86,7 +86,7 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
 
 def user_sessions(spark: SparkSession, d: str) -> DataFrame:
     s = ingest.sessions(table(spark, d, "events"), "6 hours")
-    return s.select("user_id", F.unix_micros("start").alias("first"), F.unix_micros("end").alias("until"), "n")
+    return s.select("user_id", F.unix_micros(F.col("start").cast("timestamp")).alias("first"), F.unix_micros(F.col("end").cast("timestamp")).alias("until"), "n")
 
 
 _E = """e as (select event_id, 's' || user_id as sha256, (event_id % 7 + 1)::int as page_number, case when event_type = 'error' then 'error' else 'done' end as status,

@@ -86,11 +86,11 @@ def identifiers(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unicode_slugs(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", ids.slug(F.substring("text", 1, 60)).alias("slug"), text.uri_component(F.substring("text", 1, 40)).alias("uri"))
+    return table(spark, d, "documents").select("doc_id", ids.slug(F.col("text")).alias("slug"), text.uri_component(F.col("text")).alias("uri"))
 
 
 def lexical_normal_form(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").where("lang = 'en'").select("doc_id", text.normalise_lexical("text").alias("lexical"))
+    return table(spark, d, "documents").select("doc_id", text.normalise_lexical("text").alias("lexical"))
 
 
 def scripts_languages(spark: SparkSession, d: str) -> DataFrame:
@@ -274,7 +274,7 @@ fj as (select coalesce(l.src, s.src) as src, coalesce(l.dst, s.dst) as dst, coal
 ft as (select f.*, least(a.quality, b.quality) as quality_weight, a.quality < 0.97 or b.quality < 0.97 as provisional, a.source as sa, b.source as sb,
   case when lexical >= 0.9 then 'duplicate' when lexical >= 0.6 then 'clause_reuse' when semantic >= 0.3 and a.lang <> b.lang then 'translation' when semantic >= 0.3 then 'semantic_kin'
   when semantic >= 0.2 then 'weak_link' end as type from fj f join qs a on a.doc_id = f.src join qs b on b.doc_id = f.dst),
-fe as (select src, dst, type, lexical, semantic, round(0.5 * lexical + 0.5 * semantic, 6) as combined, quality_weight, provisional, sa, sb,
+fe as (select src, dst, type, lexical, semantic, round(round(0.5 * lexical + 0.5 * semantic, 9) + 1e-10, 6) as combined, quality_weight, provisional, sa, sb,
   case when semantic <> 0 then 'minhash_lsh+knn' else 'minhash_lsh' end as method from ft where type is not null)"""
 _CC = """
 cn as (select doc_id as node from documents),
@@ -318,7 +318,7 @@ SQL = {
         case when p_partkey % 3 = 0 then 'ent:wd:Q' || p_partkey else 'ent:Place:' || slug end as node_id,
         case when p_partkey % 2 = 0 then 'similar_to:' || least(p_type, p_name) || '->' || greatest(p_type, p_name) else 'party_to:' || p_type || '->' || p_name end as edge_key,
         sha256(p_brand || ':' || p_size || ':1:9:Place:' || p_name) as mention_id, sha256(p_brand || chr(0) || sha) as scope from s""",
-    "lexical_normal_form": f"select doc_id, trim(regexp_replace(lower(strip_accents(replace(text, 'ß', 'ss'))), '[^a-z0-9]+', ' ', 'g')) as lexical from documents where lang = 'en'",
+    "lexical_normal_form": f"select doc_id, trim(regexp_replace(lower(strip_accents(replace(text, 'ß', 'ss'))), '[^a-z0-9]+', ' ', 'g')) as lexical from documents",
     "char_ngrams": f"with {_GRAMS} select doc_id, len(g) as n, list_min(g) as first, list_max(g) as last from gg",
     "minhash_signatures": f"with {_SIG} select doc_id, md5(array_to_string(sig, ',')) as signature from sg",
     "lexical_pairs": f"with {_LEXICAL} select src, dst, jaccard from lp",
@@ -332,15 +332,15 @@ SQL = {
         dk as (select *, least(sa, sb) as a, greatest(sa, sb) as b, case type when 'duplicate' then 'same_instrument_as' when 'translation' then 'translation' else 'similar_to' end as kind from fe where sa <> sb),
         db as (select * from (select *, row_number() over (partition by a, b order by combined desc, src, dst) as rn from dk) where rn = 1),
         dt as (select a, b, kind, row_number() over (partition by a, b order by count(*) desc, min((src, dst))) as rn from dk group by a, b, kind),
-        da as (select a, b, round(avg(quality_weight), 6) as quality_weight, bool_and(provisional) as provisional, count(*) as n from dk group by a, b)
+        da as (select a, b, round(round(avg(quality_weight), 9) + 1e-10, 6) as quality_weight, bool_and(provisional) as provisional, count(*) as n from dk group by a, b)
         select 'doc:' || da.a as src, 'doc:' || da.b as dst, dt.kind as type, db.lexical, db.semantic, db.combined, da.quality_weight, da.provisional, 'chunk_pairs=' || n as evidence
         from da join db on db.a = da.a and db.b = da.b join dt on dt.a = da.a and dt.b = da.b and dt.rn = 1""",
     "components": f"with recursive {_LEXICAL}, le as (select * from lp where jaccard >= 0.6), {_CC.format(edges='le')} select node, root from roots",
     "similarity_summary": f"""with recursive {QUALITY}, {_FUSED}, {_CC.format(edges='fe')}, sz as (select count(*) as n from roots group by root)
         select 'type:' || type as measure, count(*)::double as value from fe group by type union all select 'provisional_ratio', round(avg(provisional::int), 6) from fe
         union all select 'median_cluster_size', median(n) from sz union all select 'clusters', count(*)::double from sz""",
-    "embedding_cache": """with h as (select text, bool_or(doc_id % 2 = 0) as old, length(text) >= 3 as some from documents group by text)
-        select doc_id, case when old then '2024-01-01T00:00:00Z' else '2024-01-02T00:00:00Z' end as embedding_created_at, case when some then 1.0 else 0.0 end as norm from documents join h using (text)""",
+    "embedding_cache": """with h as (select text, bool_or(doc_id % 2 = 0) as old, length(text) >= 3 as encoded from documents group by text)
+        select doc_id, case when old then '2024-01-01T00:00:00Z' else '2024-01-02T00:00:00Z' end as embedding_created_at, case when encoded then 1.0 else 0.0 end as norm from documents join h using (text)""",
     "chunk_windows": r"""with recursive t as (select doc_id, text, regexp_extract_all(text, '\S+\s*') as w, length(text) - length(ltrim(text, chr(9) || chr(10) || chr(13) || ' ')) as lead from documents),
         n as (select *, len(w) as n, case when len(w) = 0 then 0 when len(w) <= 384 then 1 else ceil((len(w) - 384) / 320)::int + 1 end as k from t),
         i as (select doc_id, text, w, unnest(range(k)) as i from n),

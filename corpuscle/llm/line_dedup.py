@@ -20,16 +20,16 @@ LINES = 3
 
 def _windows(text: Column) -> Column:
     """Per window of a text (a, b, pos); windows of blank lines only are left out."""
-    lines = F.transform(F.split(text, "\n", -1), lambda x: F.when(F.trim(x) == "", F.lit(None)).otherwise(F.xxhash64(x)))
+    # 63 bits of a line's hash, and whether it is blank as the last
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.xxhash64(x).bitwiseAND(F.lit(-2)) + F.when(F.trim(x) == "", F.lit(1)).otherwise(F.lit(0)))
 
     def all_of(hashes: Column) -> Column:
         last = F.size(hashes) - LINES
 
         def window(p: Column) -> Column:
             h = [F.get(hashes, p + i) for i in range(LINES)]
-            return F.when(
-                F.coalesce(*h).isNotNull(), F.struct(F.xxhash64(*h).alias("a"), F.xxhash64(*h[::-1], F.lit("b"), *[x.isNull() for x in h]).alias("b"), p.alias("pos"))
-            )
+            blank = h[0].bitwiseAND(h[1]).bitwiseAND(h[2]).bitwiseAND(F.lit(1))
+            return F.when(blank == 0, F.struct(F.xxhash64(*h).alias("a"), F.xxhash64(*h[::-1], F.lit("b")).alias("b"), p.alias("pos")))
 
         return F.when(last >= 0, F.filter(F.transform(F.sequence(F.lit(0), last), window), lambda w: w.isNotNull()))
 

@@ -121,13 +121,13 @@ SQL = {
         select src, dst, weight from r where least(a, b) <= 8""",
     "graph_view": f"with {_ED} select type, count(*) as n, count(distinct src) as sources from ed where type <> 'R' and weight >= 45 group by type",
     "conversation_summary": """select 'c' || conv_id as document_id, array_to_string(list_sort(list(distinct role)), '; ') as languages, round(avg((turn + 1) / 10.0), 6) as quality_score, bool_or(turn + 1 > 5) as review_required,
-        case when max(turn + 1) > 7 then 'high' when max(turn + 1) > 5 then 'normal' else 'none' end as review_priority, count(*) as pages, sum(length(coalesce(text, ''))) + count(*) - 1 as chars from conversations group by conv_id""",
+        case when max(turn + 1) > 7 then 'high' when max(turn + 1) > 5 then 'normal' else 'none' end as review_priority, count(*) as pages, (sum(length(coalesce(text, ''))) + count(*) - 1)::bigint as chars from conversations group by conv_id""",
     "facets": """select 'language' as facet, lang as value, count(*) as n from documents group by 2 union all select 'doc_type', lang, count(*) from documents group by 2
         union all select 'treaty_id', source, count(*) from documents group by 2 union all select 'year', (1880 + doc_id % 150)::int::varchar, count(*) from documents group by 2""",
     "page_groups": """with r as (select 'c' || conv_id as document_id, (turn + 1)::int as p, ((row_number() over (partition by conv_id order by turn) - 1) // 3)::int as g from conversations)
         select document_id, g as "group", min(p) as first, max(p) as last from r group by 1, 2""",
     "inverted_index": r"""with t as (select doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+')) as token from documents), i as (select doc_id, token, count(*) as tf from t group by all)
-        select token, count(*) as df, sum(tf) as cf from i group by token""",
+        select token, count(*) as df, sum(tf)::bigint as cf from i group by token""",
     "keyword_search": r"""with t as (select doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+')) as token from documents where lang = 'en')
         select doc_id, round(sum(case token when 'the' then 2 else 1 end) / 5.0, 6)::double as score from t where token in ('the', 'and', 'treaty', 'of') group by 1 order by score desc, doc_id limit 20""",
     "keyword_overlap": """with k as (select p_partkey, lower(concat_ws(' ', p_name, p_type, p_brand)) as k from part)

@@ -340,7 +340,7 @@ SQL = {
         select 'type:' || type as measure, count(*)::double as value from fe group by type union all select 'provisional_ratio', round(avg(provisional::int), 6) from fe
         union all select 'median_cluster_size', median(n) from sz union all select 'clusters', count(*)::double from sz""",
     "embedding_cache": """with h as (select text, bool_or(doc_id % 2 = 0) as old, length(text) >= 3 as encoded from documents group by text)
-        select doc_id, case when old then '2024-01-01T00:00:00Z' else '2024-01-02T00:00:00Z' end as embedding_created_at, case when encoded then 1.0 else 0.0 end as norm from documents join h using (text)""",
+        select doc_id, case when old then '2024-01-01T00:00:00Z' else '2024-01-02T00:00:00Z' end as embedding_created_at, case when encoded then 1.0 else 0.0 end::double as norm from documents join h using (text)""",
     "chunk_windows": r"""with recursive t as (select doc_id, text, regexp_extract_all(text, '\S+\s*') as w, length(text) - length(ltrim(text, chr(9) || chr(10) || chr(13) || ' ')) as lead from documents),
         n as (select *, len(w) as n, case when len(w) = 0 then 0 when len(w) <= 384 then 1 else ceil((len(w) - 384) / 320)::int + 1 end as k from t),
         i as (select doc_id, text, w, unnest(range(k)) as i from n),
@@ -351,9 +351,9 @@ SQL = {
         round(max(l_tax + 0.1), 6) as b2, round(max(l_discount + 0.1), 6) as b3 from w group by 1, 2""",
     "chosen_readings": None,
     "date_mentions": """with o as (select o_orderkey, day(o_orderdate) as d, month(o_orderdate) as m, year(o_orderdate) as y from orders)
-        select o_orderkey, 'le ' || d || ' mars ' || y as surface, 5 as char_start, 5 + length('le ' || d || ' mars ' || y) as char_end, y || '-03-' || lpad(d::varchar, 2, '0') as iso_date, 0.95 as confidence, true as in_calendar from o
+        select o_orderkey, 'le ' || d || ' mars ' || y as surface, 5 as char_start, 5 + length('le ' || d || ' mars ' || y) as char_end, y || '-03-' || lpad(d::varchar, 2, '0') as iso_date, 0.95::double as confidence, true as in_calendar from o
         union all select o_orderkey, d || '/' || m || '/' || y, 5 + length('le ' || d || ' mars ' || y || ', revu '), 5 + length('le ' || d || ' mars ' || y || ', revu ' || d || '/' || m || '/' || y),
-        y || '-' || lpad(m::varchar, 2, '0') || '-' || lpad(d::varchar, 2, '0'), 0.85, true from o""",
+        y || '-' || lpad(m::varchar, 2, '0') || '-' || lpad(d::varchar, 2, '0'), 0.85::double, true from o""",
     "contract_violations": """select 'd' || doc_id as key, 'page_number' as "column", 'min' as rule from documents where doc_id % 50 = 0 union all select 'd' || doc_id, 'quality_score', 'required' from documents where doc_id % 70 = 0
         union all select 'd' || doc_id, 'tags', 'items' from documents where doc_id % 90 = 0""",
     "metadata_join": """with f as (select s_name || '.PDF' as filename, s_suppkey % 40 as h from supplier), r as (select lower(replace(c_name, 'Customer', 'Supplier')) || '.pdf' as k, * from customer where c_custkey % 2 = 0),

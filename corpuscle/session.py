@@ -19,6 +19,7 @@ def get_spark(name: str = "corpuscle", cores: int | str = "*", partitions: int |
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
     }
     if not SparkSession.getActiveSession():
         import os

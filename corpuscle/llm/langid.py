@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuscle.llm.common import written
 from corpuscle.llm.hashing import slices
 
 ORDERS = (2, 3)
@@ -24,8 +25,10 @@ BITS = 16
 #: Labelled rows per language that the model is fitted on, about: the documented bound of its sample.
 SAMPLE_PER_LANGUAGE = 2000
 #: A text is rejected when its best language's mean log probability per n-gram is lower than this share
-#: of the way from the language's own mean to that of uniform noise.
+#: of the way from the language's own mean to that of uniform noise, whatever the spread of the language's texts.
 NOISE_SHARE = 0.75
+#: A text may lie so many times as far below its language's mean as the farthest text of the sample, at equal length.
+MARGIN = 1.5
 _WINDOW = 1 << 20
 _FACTORS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 _SPACE = np.arange(128, dtype=np.uint32)
@@ -38,6 +41,8 @@ class Model:
     log_prob: np.ndarray  # float32 [buckets, languages]
     prior: np.ndarray  # float64 [languages]
     usual: np.ndarray  # float64 [languages]: expected log probability of an n-gram of the language itself
+    #: float64 [languages, 2]: a text of n n-grams may lie sqrt(a + b / n) below the usual mean; infinite where unknown
+    reach: np.ndarray
 
 
 def _codes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -102,10 +107,10 @@ def scores(texts: pa.Array, log_prob: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _counts(languages: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = 1 << BITS
-        seen = np.zeros(size * len(languages), np.int64)
+        seen = np.zeros(size * len(languages) * 2, np.int64)
         for whole in batches:
             for batch in slices(whole, "text"):
-                label = np.asarray(pc.index_in(batch.column("lang"), pa.array(languages)), dtype=np.int64)
+                label = np.asarray(pc.index_in(batch.column("lang"), pa.array(languages)), dtype=np.int64) + len(languages) * np.asarray(batch.column("half"), dtype=np.int64)
                 for h, which, (start, end) in _windows(batch.column("text")):
                     mine = np.repeat(which, end - start)
                     skip = np.repeat(start - np.concatenate([[0], np.cumsum(end - start)[:-1]]), end - start)
@@ -116,6 +121,49 @@ def _counts(languages: list[str]):
     return run
 
 
+def _estimate(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log probabilities [languages, buckets] and each language's expected one, from the buckets' counts."""
+    log_prob = np.log((counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * counts.shape[1]))
+    return log_prob, (log_prob * counts).sum(axis=1) / np.maximum(1, counts.sum(axis=1))
+
+
+def _depths(halves: list[tuple[np.ndarray, np.ndarray]]):
+    """Of each text its best language in the model of the other half, its n-grams and how far its mean lies below the usual one."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                half = np.asarray(batch.column("half"))
+                for other, (log_prob, usual) in enumerate(halves):
+                    total, count = scores(batch.column("text").filter(pa.array(half != other)), log_prob)
+                    total, count = total[count > 0], count[count > 0]
+                    best = np.argmax(total, axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(best), pa.array(count), pa.array(usual[best] - total[np.arange(len(best)), best] / count)], names=["lang", "n", "depth"]
+                    )
+
+    return run
+
+
+def _reach(lang: np.ndarray, n: np.ndarray, depth: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """a and b of each language: the spread a' + b' / n that fits the squared depths best, times what takes in the deepest text and MARGIN.
+
+    Texts deeper than `most` are rejected anyway and don't count.
+    """
+    out = np.full((len(most), 2), np.inf)
+    for k in range(len(most)):
+        mine = (lang == k) & (depth < most[k])
+        if not mine.any():
+            continue
+        square, short = depth[mine] ** 2, 1 / n[mine]
+        x, y = short - short.mean(), square - square.mean()
+        b = max(0.0, (x @ y) / (x @ x)) if x @ x > 0 else 0.0
+        b = min(b, square.mean() / short.mean())
+        a = square.mean() - b * short.mean()
+        out[k] = np.array([a, b]) * MARGIN**2 * (np.maximum(depth[mine], 0) ** 2 / np.maximum(a + b * short, 1e-300)).max()
+    return out
+
+
 def fit(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     per_language: int = SAMPLE_PER_LANGUAGE, hold_out: tuple[int, int] | None = None,
@@ -123,7 +171,9 @@ def fit(
     """A model of the labelled languages.
 
     Fitted on the rows whose id's hash is lowest, about `per_language` of each language.  Rows without text,
-    label or letters give nothing; without any labelled row the model has no language and accepts nothing.
+    label or letters give nothing; without any labelled row the model has no language and accepts nothing.  How far a
+    text may lie below its language's mean comes from the sample's texts, see _reach; where a half of the sample lacks
+    a language, NOISE_SHARE alone bounds it.
     hold_out=(m, r) leaves out the rows whose hash is r modulo m, for testing.
     """
     rows = docs.select(
@@ -134,16 +184,21 @@ def fit(
     have = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect())
     languages = [lang for lang, _ in have]
     size = 1 << BITS
-    counts = np.zeros((len(languages), size))
+    counts = np.zeros((2, len(languages), size))
     if languages:
         bound = F.create_map(*[F.lit(x) for lang, n in have for x in (lang, int(min(1.0, per_language / n) * (1 << 30)))])
-        sample = rows.where(F.col("h") < bound[F.col("lang")]).select("text", "lang")
+        sample = written(rows.where(F.col("h") < bound[F.col("lang")]).select("text", "lang", (F.col("h") % 2).alias("half")))
         cells = sample.mapInArrow(_counts(languages), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
         counts.ravel()[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
-    prob = (counts + 0.5) / (counts.sum(axis=1, keepdims=True) + 0.5 * size)
-    usual = (np.log(prob) * counts).sum(axis=1) / np.maximum(1, counts.sum(axis=1))
+    log_prob, usual = _estimate(counts.sum(axis=0))
+    reach = np.full((len(languages), 2), np.inf)
+    if languages and counts.sum(axis=2).all():
+        # a text of the sample is nearer to a model that has seen it, so each half is held against the other's
+        halves = [(x.T.astype(np.float32), u) for x, u in map(_estimate, counts)]
+        depths = sample.mapInArrow(_depths(halves), "lang long, n long, depth double").toPandas()
+        reach = _reach(*(depths[c].to_numpy() for c in ("lang", "n", "depth")), NOISE_SHARE * (usual - log_prob.mean(axis=1)))
     share = np.array([n for _, n in have], float)
-    return Model(languages, np.log(prob).T.astype(np.float32), np.log(np.maximum(share, 1) / max(1.0, share.sum())), usual)
+    return Model(languages, log_prob.T.astype(np.float32), np.log(np.maximum(share, 1) / max(1.0, share.sum())), usual, reach)
 
 
 def predict(texts: pa.Array, model: Model, noise_share: float = NOISE_SHARE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,8 +209,9 @@ def predict(texts: pa.Array, model: Model, noise_share: float = NOISE_SHARE) ->
     total, count = scores(texts, model.log_prob)
     best = np.argmax(total + model.prior, axis=1)
     mean = total[np.arange(n), best] / np.maximum(count, 1)
-    floor = model.usual + noise_share * (model.log_prob.mean(axis=0) - model.usual)
-    ok = (count > 0) & (mean >= floor[best])
+    most = noise_share * (model.usual - model.log_prob.mean(axis=0))
+    reach = np.sqrt(model.reach[best, 0] + model.reach[best, 1] / np.maximum(count, 1))
+    ok = (count > 0) & (model.usual[best] - mean <= np.minimum(reach, most[best]))
     return np.where(count > 0, best, -1), np.where(count > 0, mean, np.nan), ok
 
 

@@ -295,6 +295,22 @@ def test_language_rejects_noise_and_odd_rows(spark, odd):
     assert langid.accepted(docs.limit(0)).count() == 0
 
 
+def test_language_rejects_other_latin_languages_blobs_and_markup(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    rnd = random.Random(1)
+    other = [
+        "La città era tranquilla quella mattina e il vecchio camminava lungo la strada che porta al mercato, dove le donne vendevano frutta e verdura.",
+        "Kaupunki oli sinä aamuna hiljainen ja vanha mies käveli tietä pitkin torille, jossa naiset myivät hedelmiä ja vihanneksia.",
+        "Miasto było tego ranka spokojne, a stary człowiek szedł drogą prowadzącą na rynek, gdzie kobiety sprzedawały owoce i warzywa.",
+        '<div class="nav"><a href="/x/y.html" id="b1"><span style="color:red">x</span></a></div><script src="jquery.min.js"></script>' * 4,
+        "".join(rnd.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(400)),
+        "a" * 300,
+    ]
+    assert not langid.predict(pa.array(other), model)[2].any()
+    assert langid.identify(docs, model).where("not accepted").count() == 0, "all labelled documents stay"
+
+
 # ---- exact dedup
 
 

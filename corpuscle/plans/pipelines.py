@@ -30,7 +30,7 @@ def build_similarity(pages: DataFrame, cfg: Config = Config(), size: int = SIZE,
     docs = cut(similarity.document_edges(edges, chunks))
     nodes = chunks.select(F.concat(F.lit("doc:"), "document_id").alias("node")).distinct()
     families = similarity.communities(docs.select("src", "dst", F.col("combined").alias("weight")), nodes)
-    groups = cut(similarity.clusters(families, "greedy_modularity"))
+    groups = cut(similarity.clusters(families, "louvain"))
     return out | {"chunks": chunks, "semantic_pairs": semantic, "edges": edges, "doc_edges": docs, "clusters": groups, "summary": similarity.similarity_summary(docs, groups)}
 
 

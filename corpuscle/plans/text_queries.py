@@ -154,7 +154,7 @@ def components(spark: SparkSession, d: str) -> DataFrame:
 def communities(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
     edges = lexical_pairs(spark, d).where("jaccard >= 0.5").select("src", "dst", F.col("jaccard").alias("weight"))
-    groups = similarity.clusters(similarity.communities(edges, docs.select(F.col("doc_id").alias("node"))), "greedy_modularity")
+    groups = similarity.clusters(similarity.communities(edges, docs.select(F.col("doc_id").alias("node"))), "louvain")
     return groups.where("size > 1").select("cluster_id", "size", joined(F.transform("documents", lambda x: x.cast("string"))).alias("documents"))
 
 

@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from corpuscle.llm.common import posix_dir
 from corpuscle.llm.hashing import combine, slices, words
 
-ORDER = 2
-#: Buckets of the model, a power of two; a bucket's n-grams are merged in one task's memory.
+ORDER = 3
+#: Buckets of the model, a power of two at least; a bucket's n-grams are merged in one task's memory.
 BUCKETS = 64
+#: Text of a bucket where the buckets follow the input's size.
+BUCKET_CHARS = 16 << 20
 _BEGIN, _END = np.uint64(0x1234567890ABCDE1), np.uint64(0xF00DFACE12345671)
 _AT_ONCE = 1 << 22
 
@@ -173,8 +175,15 @@ def _discounts(few: np.ndarray) -> list[float]:
     return [min(max(x, 0.0), k + 1.0) for k, x in enumerate((1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3))]
 
 
-def fit(docs: DataFrame, text_col: str = "text", order: int = ORDER, buckets: int = BUCKETS) -> Model:
+def sized_buckets(docs: DataFrame, text_col: str = "text") -> int:
+    """A power of two, BUCKETS at least, that gives each bucket about BUCKET_CHARS characters of text at most."""
+    chars = docs.agg(F.sum(F.length(F.col(text_col)).cast("long"))).first()[0] or 0
+    return max(BUCKETS, 1 << (-(-chars // BUCKET_CHARS) - 1).bit_length())
+
+
+def fit(docs: DataFrame, text_col: str = "text", order: int = ORDER, buckets: int | None = None) -> Model:
     """The model of all texts of docs.  Texts that are null, empty or without a word give nothing."""
+    buckets = buckets or sized_buckets(docs, text_col)
     if order < 2 or buckets & (buckets - 1):
         raise ValueError("order must be 2 or more, buckets a power of two")
     spark = docs.sparkSession
@@ -237,7 +246,7 @@ def log_probabilities(model: Model, columns: list[np.ndarray]) -> np.ndarray:
     return np.log10(p)
 
 
-def score(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, buckets: int = BUCKETS) -> DataFrame:
+def score(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, buckets: int | None = None) -> DataFrame:
     """A row (doc_id, n_tokens, log10_prob, perplexity) for every row of docs; tokens are its words and its end.
 
     By default the model is fitted on docs itself.  Null, empty and wordless texts have 0 tokens and null otherwise.  Repeated

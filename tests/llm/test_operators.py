@@ -182,6 +182,21 @@ def test_language_model_odd_rows(odd):
     assert kn_lm.score(odd.limit(0), buckets=2).count() == 0
 
 
+def test_language_model_sees_more_than_one_word_back(spark):
+    rows = ["a b c", "d b e"] * 20 + ["a b c", "a b e"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["log10_prob"] for r in kn_lm.score(df).collect()}
+    assert got[41] < got[40] - 0.5, "the pairs of both are as frequent"
+    assert np.allclose([got[i] for i in range(len(rows))], brute_kn(rows, 3))
+
+
+def test_language_model_buckets_follow_the_input(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "x" * 1000), (2, None)], "doc_id long, text string")
+    assert kn_lm.sized_buckets(df) == kn_lm.BUCKETS == kn_lm.sized_buckets(df.limit(0))
+    monkeypatch.setattr(kn_lm, "BUCKET_CHARS", 10)
+    assert kn_lm.sized_buckets(df) == 128
+
+
 # ---- URL templates
 
 

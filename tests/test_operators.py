@@ -1,5 +1,6 @@
 """Operators without SQL on small cases with known results."""
 
+from corpuscle.functions import text
 from corpuscle.operators import similarity
 
 
@@ -25,3 +26,9 @@ def test_communities_of_joined_cliques(spark):
     starts = (0, 10, 20)
     edges = [(b + i, b + j) for b in starts for i in range(6) for j in range(i)] + [(0, 10), (11, 20)]
     assert found(spark, edges, [b + i for b in starts for i in range(6)]) == {b + i: b for b in starts for i in range(6)}
+
+
+def test_languages_of_the_end_of_a_long_text():
+    french, english = "le chat et la souris dans les murs de la ville pour une nuit ", "the cat and the mouse in the walls of the town for this night "
+    assert "en" not in text.languages(french * 300)
+    assert text.languages(french * 300 + english * 300)[:2] == ["en", "fr"]

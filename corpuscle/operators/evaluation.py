@@ -136,15 +136,25 @@ def band_counts(sample: DataFrame) -> DataFrame:
 def no_edge_negatives(reps: DataFrame, edges: DataFrame, count: int, seed: int = 0) -> DataFrame:
     """`count` random pairs of representatives of the same type and century label whose chunks have no edge.
 
-    Each document meets the next ones in a random order within its group, which needs no quadratic join.
+    Each document meets the next three in a random order within its group; while too few of these pairs are free, it meets twice
+    as many further ones, until there are enough or every pair of each group has been seen.
     """
     group = F.concat(F.floor(F.col("year") / 100).cast("string"), F.lit("xx"))
     rows = reps.select("document_id", "chunk_id", F.coalesce("doc_type", F.lit("Inconnu")).alias("t"), F.coalesce(group, F.lit("unknown")).alias("g"))
-    w = Window.partitionBy("t", "g").orderBy(shuffle_key(seed, "document_id"), "document_id")
-    steps = [F.lead(F.struct("document_id", "chunk_id"), i).over(w) for i in (1, 2, 3)]
-    pairs = rows.select("t", "g", "document_id", "chunk_id", F.explode(F.array_compact(F.array(*steps))).alias("o"))
-    pairs = pairs.select("t", "g", F.col("document_id").alias("d1"), F.col("o.document_id").alias("d2"), F.least("chunk_id", "o.chunk_id").alias("src"), F.greatest("chunk_id", "o.chunk_id").alias("dst"))
-    free = pairs.join(ordered_pair(edges).select("src", "dst"), ["src", "dst"], "left_anti")
+    w = Window.partitionBy("t", "g").orderBy(shuffle_key(seed, "document_id"), "document_id", "chunk_id")
+    rows = cut(rows.withColumn("at", F.row_number().over(w)))
+    last = (rows.agg(F.max("at")).first()[0] or 0) - 1
+    known = cut(ordered_pair(edges).select("src", "dst").distinct())
+    other = rows.select("t", "g", F.col("document_id").alias("d2"), F.col("chunk_id").alias("c2"), "at")
+    free, low, high = None, 1, 3
+    while True:
+        near = rows.select("t", "g", F.col("document_id").alias("d1"), "chunk_id", F.explode(F.sequence(F.col("at") + low, F.col("at") + high)).alias("at"))
+        pairs = near.join(other, ["t", "g", "at"]).select("t", "g", "d1", "d2", F.least("chunk_id", "c2").alias("src"), F.greatest("chunk_id", "c2").alias("dst"))
+        more = cut(pairs.join(known, ["src", "dst"], "left_anti"))
+        free = more if free is None else free.unionByName(more)
+        if high >= last or free.count() >= count:
+            break
+        low, high = high + 1, min(last, high + 2 * (high - low + 1))
     return free.orderBy(shuffle_key(seed, "src", "dst"), "src", "dst").limit(count)
 
 

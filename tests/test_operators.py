@@ -1,7 +1,7 @@
 """Operators without SQL on small cases with known results."""
 
 from corpuscle.functions import text
-from corpuscle.operators import similarity
+from corpuscle.operators import evaluation, similarity
 
 
 def found(spark, edges, nodes):
@@ -32,3 +32,15 @@ def test_languages_of_the_end_of_a_long_text():
     french, english = "le chat et la souris dans les murs de la ville pour une nuit ", "the cat and the mouse in the walls of the town for this night "
     assert "en" not in text.languages(french * 300)
     assert text.languages(french * 300 + english * 300)[:2] == ["en", "fr"]
+
+
+def test_negatives_are_found_beyond_the_next_documents(spark):
+    reps = [(f"d{i:02}", f"c{i:02}", "law", 1950) for i in range(12)] + [("x", "x", None, None)]
+    pairs = [(f"c{i:02}", f"c{j:02}") for j in range(12) for i in range(j)]
+    free = {("c00", "c05"), ("c03", "c07"), ("c02", "c11"), ("c01", "c08")}
+    r = spark.createDataFrame(reps, "document_id string, chunk_id string, doc_type string, year int")
+    e = spark.createDataFrame([p for p in pairs if p not in free], "src string, dst string")
+    got = [(x["src"], x["dst"]) for x in evaluation.no_edge_negatives(r, e, 10).collect()]
+    assert set(got) == free and len(got) == 4
+    assert evaluation.no_edge_negatives(r, e.limit(0), 60).count() == 60
+    assert evaluation.no_edge_negatives(r.limit(0), e, 5).count() == 0

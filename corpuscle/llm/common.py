@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,18 +37,54 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def posix_dir(spark: SparkSession, what: str) -> str:
-    """A new path under the shared folder that workers can open and memory-map as a file."""
+    """A new path under the shared folder that workers can open and memory-map as a file; clean() removes it."""
     base = shared_dir(spark)
     if "://" in base and not base.startswith("file://"):
         raise ValueError(f"spark.checkpoint.dir must be a mounted folder (file://) here, not {base}")
-    path = base.removeprefix("file://").removeprefix("file:")
-    return f"{path}/{what}-{uuid.uuid4().hex}"
+    path = f"{base.removeprefix('file://').removeprefix('file:')}/{what}-{uuid.uuid4().hex}"
+    _made.append(f"file://{path}")
+    return path
+
+
+#: Folders that operators of this process have made for files which their lazy results read.
+_made: list[str] = []
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes the models, blocks and stages that operators have left in the shared folder; their results must be written by then."""
+    while _made:
+        remove(spark, _made.pop())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Within it, an execution's shuffle files go as soon as its result is written, so that steps don't add up on disk."""
+    was = spark.conf.get(_RELEASE, "false")
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_RELEASE, was)
 
 
 def written(df: DataFrame) -> DataFrame:
     """The DataFrame as a reliable checkpoint in the shared folder: computed once, independent of its lineage."""
     shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with released(df.sparkSession):
+        return df.checkpoint(eager=True)
+
+
+def col(name: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -68,7 +106,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 def row_hash(df: DataFrame) -> Column:
     """A 64-bit hash of a row's content, for a defined order between rows that tie otherwise."""
-    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if not _has_map(f.dataType)])
+    return F.xxhash64(*[col(f.name) for f in df.schema if not _has_map(f.dataType)])
 
 
 def _has_map(kind: T.DataType) -> bool:

@@ -148,7 +148,13 @@ def brute_kn(rows, order):
     for n in range(order - 1, 0, -1):
         for g, c in counts[n + 1].items():
             counts[n][g[1:]] += c if n > 1 and g[1] == "<" else 1
-    discount = {n: [0, *kn_lm._discounts(np.array([sum(c == k for c in counts[n].values()) for k in (1, 2, 3, 4)]))] for n in counts}
+    discount = {}
+    for n in counts:
+        n1, n2, n3, n4 = (sum(c == k for c in counts[n].values()) for k in (1, 2, 3, 4))
+        discount[n] = [0, 0.5, 1.0, 1.5]
+        if n1 * n2 * n3 * n4:
+            y = n1 / (n1 + 2 * n2)
+            discount[n] = [0, *(min(max(k - (k + 1) * y * b / a, 0), k) for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4)))]
 
     def prob(g):
         n = len(g)
@@ -182,6 +188,22 @@ def test_language_model_odd_rows(odd):
     assert kn_lm.score(odd.limit(0), buckets=2).count() == 0
 
 
+def test_language_model_counts_beyond_a_byte(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = ["a b"] * 700 + ["a b c"] * 255 + [" ".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(1, 9))) for _ in range(60)]
+    rows += [r for r in rows[-20:]]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(kn_lm, "_AT_ONCE", 50)  # tasks and buckets merge in many steps
+    got = kn_lm.score(df, buckets=2).orderBy("doc_id").collect()
+    assert np.allclose([r["log10_prob"] for r in got], brute_kn(rows, 3))
+
+
+def test_language_model_of_other_texts(spark):
+    model = kn_lm.fit(spark.createDataFrame([("a b c",), ("a b d",)], "text string"), buckets=4)
+    got = kn_lm.score(spark.createDataFrame([(1, "a b x"), (1, "a b c"), (2, "x y")], "`an id` long, `a.text` string"), model, "an id", "a.text").collect()
+    assert [r["n_tokens"] for r in got] == [4, 4, 3] and got[1]["log10_prob"] > got[0]["log10_prob"] > -20
+
+
 def test_language_model_sees_more_than_one_word_back(spark):
     rows = ["a b c", "d b e"] * 20 + ["a b c", "a b e"]
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")

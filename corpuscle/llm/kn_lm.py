@@ -65,7 +65,7 @@ def _write(path: str, arrays: dict[str, np.ndarray]) -> None:
 
 def _read(path: str) -> dict[str, np.ndarray]:
     """The arrays of a file, mapped into memory."""
-    raw = np.memmap(path, np.uint8, "r")
+    raw = np.asarray(np.memmap(path, np.uint8, "r"))
     with open(path, "rb") as f:
         line = f.readline()
     out = {}
@@ -184,14 +184,15 @@ def _places(part: dict[str, np.ndarray], name: str, asked: np.ndarray, buckets:
     lead = (asked >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(asked), np.int64)
     want = (asked << np.uint64(bits) >> np.uint64(32)).astype(np.uint32)
     at, end = begin[lead].astype(np.int64), begin[lead + 1].astype(np.int64)
-    hit, open_ = np.zeros(len(asked), bool), np.flatnonzero(at < end)
-    while len(open_):
-        have = low[at[open_]]
-        hit[open_[have == want[open_]]] = True
-        open_ = open_[have < want[open_]]
-        at[open_] += 1
-        open_ = open_[at[open_] < end[open_]]
-    return np.where(hit, at, 0), hit
+    if not len(low) or not len(asked):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    last, stop = len(low) - 1, end
+    for _ in range(int((end - at).max()).bit_length()):
+        middle = (at + end) >> 1
+        less = (middle < end) & (low[np.minimum(middle, last)] < want)
+        at, end = np.where(less, middle + 1, at), np.where(less, end, middle)
+    at = np.minimum(at, last)
+    return at, (at < stop) & (low[at] == want)
 
 
 def _narrow(name: str, counts: np.ndarray) -> dict[str, np.ndarray]:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuscle.llm.common import fresh
+from corpuscle.llm.common import col, fresh
 from corpuscle.llm.hashing import slices
 
 #: The vocabulary's place is a parameter; the file is read on the driver and broadcast.
@@ -146,28 +146,28 @@ class Bpe:
         """The pretokens of a text."""
         return (self.split if _OTHER.search(text) else self.fast).findall(text)
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Puts the ids of all these pretokens into the cache."""
-        if len(self.cache) > CACHED:
-            self.cache.clear()
-        new = [w for w in set(words) if w not in self.cache]
+    def learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The ids of all these pretokens; those of up to WHOLE bytes go into the cache as well."""
+        new = list(set(words))
         raw = [w.encode("utf-8", "replace") for w in new]
         short = [i for i, r in enumerate(raw) if len(r) <= WHOLE]
-        for i, ids in zip(short, self.merge_many([raw[i] for i in short]), strict=True):
-            self.cache[new[i]] = ids
+        out = {new[i]: ids for i, ids in zip(short, self.merge_many([raw[i] for i in short]), strict=True)}
+        if len(self.cache) + len(out) > CACHED:
+            self.cache.clear()
+        self.cache.update(itertools.islice(out.items(), CACHED))
         step = max(4 * self.lookahead, 256)
         for w, r in zip(new, raw, strict=True):
             if len(r) > WHOLE:
-                cuts = range(0, len(r), step)
-                self.cache[w] = b"".join(self.long((r[i : i + step], i + step >= len(r)) for i in cuts))
+                out[w] = b"".join(self.long((r[i : i + step], i + step >= len(r)) for i in range(0, len(r), step)))
+        return out
 
     def known(self, words: list[str]) -> list[bytes]:
         """The ids of each pretoken; those not in the cache are learnt together."""
         got = list(map(self.cache.get, words))
         if missing := [i for i, x in enumerate(got) if x is None]:
-            self.learn([words[i] for i in missing])
+            new = self.learn([words[i] for i in missing])
             for i in missing:
-                got[i] = self.cache[words[i]]
+                got[i] = new[words[i]]
         return got
 
     def ids_of(self, words: list[str]) -> bytes:
@@ -354,4 +354,4 @@ def decode(rows: DataFrame, ids_col: str = "token_ids", out: str = "decoded", to
         bpe = _loaded(shared.value)
         return ids.map(lambda x: None if x is None else bpe.decode(x))
 
-    return rows.withColumn(name, text(F.col(f"`{ids_col}`")))
+    return rows.withColumn(name, text(col(ids_col)))

@@ -33,7 +33,9 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pivot_search.top_k(table(spark, sf_dir, "embeddings"))
+    """A search: the queries are the vectors whose id is divisible by 100, against all."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivot_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +94,7 @@ select d.doc_id, case when k.doc_id is null then d.text else coalesce(k.text, ''
 _TOP_K = """
 with n as (select vec_id, embedding::double[] as v from embeddings),
 u as (select vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) as v from n),
-p as (select a.vec_id, b.vec_id as neighbor_id, round(list_dot_product(a.v, b.v), 6) as similarity from u a join u b on a.vec_id <> b.vec_id),
+p as (select a.vec_id, b.vec_id as neighbor_id, round(list_dot_product(a.v, b.v), 6) as similarity from u a join u b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
 r as (select *, row_number() over (partition by vec_id order by similarity desc, neighbor_id)::int as rank from p)
 select vec_id, neighbor_id, rank, similarity from r where rank <= 10
 """

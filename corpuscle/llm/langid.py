@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import written
+from corpuscle.llm.common import col, written
 from corpuscle.llm.hashing import slices
 
 ORDERS = (2, 3)
@@ -29,6 +29,8 @@ SAMPLE_PER_LANGUAGE = 2000
 NOISE_SHARE = 0.75
 #: A text may lie so many times as far below its language's mean as the farthest text of the sample, at equal length.
 MARGIN = 1.5
+#: Labels at most: the matrix of the model, which is broadcast, has a column for each.
+LANGUAGES = 500
 _WINDOW = 1 << 20
 _FACTORS = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 _SPACE = np.arange(128, dtype=np.uint32)
@@ -70,7 +72,7 @@ def _hashes(code: np.ndarray, order: int) -> np.ndarray:
 def _windows(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(hashes, index of the text, first and end place of its n-grams among them) for every order and window.
 
-    N-grams without a letter are left out by giving them to no text: they are the blank ones.
+    N-grams that cross from one text to the next are given to no text; those of blanks count like others.
     """
     code, at = _codes(texts)
     for order in ORDERS:
@@ -174,14 +176,17 @@ def fit(
     label or letters give nothing; without any labelled row the model has no language and accepts nothing.  How far a
     text may lie below its language's mean comes from the sample's texts, see _reach; where a half of the sample lacks
     a language, NOISE_SHARE alone bounds it.
+    More than LANGUAGES labels are refused.
     hold_out=(m, r) leaves out the rows whose hash is r modulo m, for testing.
     """
     rows = docs.select(
-        F.pmod(F.xxhash64(F.col(id_col), F.lit("langid")), F.lit(1 << 30)).alias("h"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")
+        F.pmod(F.xxhash64(col(id_col), F.lit("langid")), F.lit(1 << 30)).alias("h"), col(text_col).alias("text"), col(lang_col).cast("string").alias("lang")
     ).where("lang is not null and text is not null")
     if hold_out:
         rows = rows.where(F.col("h") % hold_out[0] != hold_out[1])
-    have = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect())
+    have = sorted((r["lang"], r["n"]) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LANGUAGES + 1).collect())
+    if len(have) > LANGUAGES:
+        raise ValueError(f"{lang_col} has more than {LANGUAGES} labels; clean it first")
     languages = [lang for lang, _ in have]
     size = 1 << BITS
     counts = np.zeros((2, len(languages), size))
@@ -238,7 +243,7 @@ def identify(
                     names=["doc_id", "predicted", "mean_log_prob", "accepted"],
                 )
 
-    narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, predicted string, mean_log_prob double, accepted boolean")
 
 

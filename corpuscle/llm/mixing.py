@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import BROADCAST_ROWS, fresh, row_hash, sized, written
+from corpuscle.llm.common import BROADCAST_ROWS, col, fresh, row_hash, sized, written
 
 ROWS_PER_RANGE = 1_000_000
 _KEY_BITS = 60
@@ -34,7 +34,7 @@ def plan(
 ) -> DataFrame:
     """Per source (source, source_tokens, budget, epochs, cut): whole epochs to repeat and the last (key, tie) of the part epoch."""
     rows = written(
-        docs.select(F.col(source_col).alias("source"), random_key(F.col(id_col), seed).alias("key"), row_hash(docs).alias("tie"), token_count(F.col(text_col)).alias("n"))
+        docs.select(col(source_col).alias("source"), random_key(col(id_col), seed).alias("key"), row_hash(docs).alias("tie"), token_count(col(text_col)).alias("n"))
     )
     total = rows.groupBy("source").agg(F.count("*").alias("rows"), F.sum("n").alias("source_tokens"))
     if weights is None:
@@ -81,7 +81,7 @@ def mixed(
     cuts = plan(docs, weights, budget, seed, id_col, text_col, source_col, rows_per_range)
     s, cut, epochs, tie, epoch = fresh(docs, "cut_source", "cut_at", "cut_epochs", "row_tie", "epoch")
     cuts = sized(cuts.select(F.col("source").alias(s), F.col("cut").alias(cut), F.col("epochs").alias(epochs)), broadcast_rows)
-    rows = docs.withColumn(tie, F.struct(random_key(F.col(id_col), seed).alias("key"), row_hash(docs).alias("tie")))
-    rows = rows.join(cuts, rows[source_col].eqNullSafe(F.col(s)))
+    rows = docs.withColumn(tie, F.struct(random_key(col(id_col), seed).alias("key"), row_hash(docs).alias("tie")))
+    rows = rows.join(cuts, col(source_col).eqNullSafe(F.col(s)))
     copies = F.col(epochs) + F.when(F.col(tie) <= F.col(cut), F.lit(1)).otherwise(F.lit(0))
-    return rows.where(copies > 0).select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias(epoch))
+    return rows.where(copies > 0).select(*[col(c) for c in docs.columns], F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias(epoch))

@@ -68,12 +68,22 @@ def test_manhattan_distance_bounds_hamming():
         assert (np.abs(g[i] - g[j]).sum(axis=1) <= np.abs(bits[i] - bits[j]).sum(axis=1)).all()
 
 
+def test_simhash_group_of_copies_and_clashing_names(spark):
+    base, vocabulary, rnd = texts(3, seed=4)
+    rows = [(i, base[0], "x") for i in range(60)] + [(100, base[1], "y"), (101, base[2], "z"), (102, edited(base[0], rnd, vocabulary, 0.02), "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, removed_id string").withColumn("__removed_id", simhash.F.lit(1))
+    assert sorted(map(tuple, simhash.near_duplicates(df).collect())) == [(i, 0) for i in [*range(1, 60), 102]]
+    for most in (0, 1000):
+        kept = simhash.deduplicated(df, broadcast_rows=most)
+        assert kept.columns == df.columns and sorted(r["doc_id"] for r in kept.collect()) == [0, 100, 101]
+
+
 def test_simhash_odd_rows(odd):
     assert sorted(map(tuple, simhash.near_duplicates(odd).collect())) == [(4, 1)]
     kept = simhash.deduplicated(odd)
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 1
     assert simhash.deduplicated(odd, broadcast_rows=0).count() == len(ODD) - 1
-    assert simhash.near_duplicates(odd.limit(0)).count() == 0
+    assert simhash.near_duplicates(odd.limit(0)).count() == 0 and simhash.deduplicated(odd.limit(0)).count() == 0
 
 
 # ---- line dedup
@@ -130,6 +140,18 @@ def test_mixing_against_brute_force(spark):
     assert mixing.mixed(df, weights, budget, broadcast_rows=0).count() == sum(want.values())
 
 
+def test_mixing_takes_equal_rows_together(spark):
+    rows = [(1, "a b", "s")] * 3 + [(2, "c", "s"), (None, None, None), (None, "x y z", None), (3, "", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, `the.text` string, source string")
+    def got(budget):
+        rows = mixing.mixed(df, {"s": 1}, budget, text_col="the.text").collect()
+        assert all(not r["the.text"] for r in rows if r["source"] != "s"), "of other sources only what has no tokens fits"
+        return Counter((r["doc_id"], r["epoch"]) for r in rows if r["source"] == "s")
+
+    assert got(7) == {(1, 1): 3, (2, 1): 1}
+    assert got(5) in ({(2, 1): 1}, {}), "of three equal rows none fits beside the other"
+
+
 def test_mixing_odd_rows(odd):
     out = mixing.mixed(odd.withColumnRenamed("content_key", "epoch"))
     assert out.columns == ["doc_id", "text", "epoch", "source", "epoch_"] and out.count() > 0
@@ -237,9 +259,76 @@ def test_url_templates(spark):
     assert of[0]["template"] == "/spam/{n}" and of[0]["rejected"] and all(of[i]["rejected"] == (i % 3 == 0) for i in range(600))
     assert {of[i]["template"] for i in range(600) if i % 3} <= {"/*/{n}", "/news/{n}", "/blog/{n}", "/wiki/{n}"}
     assert of[None]["template"] is None and not of[None]["rejected"] and of[602]["template"] == "" and not of[602]["rejected"]
-    good, labelled = sum(i % 3 == 0 and i % 2 and 0 for i in range(600)), sum(i % 3 == 0 and i % 2 == 1 for i in range(600))
+    labelled = sum(i % 3 == 0 and i % 2 == 1 for i in range(600))  # none of them good
     overall = sum(q for _, q in labels) / len(labels)
-    assert of[0]["purity"] == pytest.approx((good + url_templates.PRIOR * overall) / (labelled + url_templates.PRIOR))
+    assert of[0]["purity"] == pytest.approx(url_templates.PRIOR * overall / (labelled + url_templates.PRIOR))
+
+
+def brute_templates(shapes):
+    """{(host, shape): template} level by level; shapes: {(host, shape): (labelled, good)}."""
+    out = {}
+
+    def go(host, done, rows):
+        for shape, rest, _, _ in rows:
+            if not rest:
+                out[host, shape] = done
+        rows = [r for r in rows if r[1]]
+        child = {}
+        for r in rows:
+            c = child.setdefault(r[1][0], [0, 0])
+            c[0] += r[2]
+            c[1] += r[3]
+        nl, ng = sum(c[0] for c in child.values()), sum(c[1] for c in child.values())
+        after = {}
+        for r in rows:
+            labelled, good = child[r[1][0]]
+            rl, rg, own = nl - labelled, ng - good, len(child) == 1
+            if not own and labelled >= url_templates.MIN_LABELLED and rl >= url_templates.MIN_LABELLED:
+                p = ng / nl
+                own = abs(good / labelled - rg / rl) > url_templates.Z * (p * (1 - p) * (1 / labelled + 1 / rl)) ** 0.5
+            after.setdefault(r[1][0] if own else "*", []).append((r[0], r[1][1:], *r[2:]))
+        for seg, mine in after.items():
+            go(host, f"{done}/{seg}", mine)
+
+    for host in {h for h, _ in shapes}:
+        go(host, "", [(s, [x for x in s.split("/") if x], *n) for (h, s), n in shapes.items() if h == host])
+    return out
+
+
+def test_url_templates_against_brute_force(spark):
+    rnd = random.Random(12)
+    shapes = {}
+    for _ in range(400):
+        host = rnd.choice(["a.org", "b.org", ""])
+        depth = rnd.choice([0, 1, 2, 3, 4, 5])
+        path = [rnd.choice(["x", "y", "z"] if i < 2 else ["p", "p", "p", "q"]) for i in range(depth)]
+        labelled = rnd.choice([0, 5, 30])
+        share = 0.9 if path[:1] == ["x"] else 0.5 if path[:2] == ["y", "z"] else 0.1
+        shapes[host, "/".join(path)] = (labelled, sum(rnd.random() < share for _ in range(labelled)))
+    df = spark.createDataFrame([(h, s, 1, *n) for (h, s), n in shapes.items()], "host string, shape string, n long, labelled long, good long")
+    got = {(r["host"], r["shape"]): r["template"] for r in url_templates.templates(df).collect()}
+    assert got == brute_templates(shapes) and any("*" in t for t in got.values()) and any(t.startswith("/x/") for t in got.values())
+
+
+def test_url_templates_odd_rows(spark):
+    long = "https://h.org/" + "/".join(f"s{i}" for i in range(200))
+    pages = [(1, long, "a"), (1, long, "a"), (2, long + "/end", "b"), (None, "https://h.org/s0", "c"), (3, "https://h.org/" + "x" * 200_000, "d"), (4, None, None), (5, "", "e")]
+    labels = [(1, 0), (1, 1), (2, 0), (2, 0), (3, None), (None, 0), (9, 1)]
+    got = url_templates.judged(spark.createDataFrame(pages, "page_id long, url string, host string"), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    assert len(got) == len(pages)
+    by = {r["page_id"]: r for r in got}
+    assert by[1]["labelled"] == 2 and by[1]["rejected"] and by[2]["rejected"], "of several labels the lowest counts"
+    assert len({r["template"] for r in got if r["page_id"] == 1}) == 1 and by[4]["template"] is None and by[5]["host"] == ""
+
+
+def test_url_templates_long_paths_take_few_rounds(spark, monkeypatch):
+    rounds = []
+    true = url_templates._ahead
+    monkeypatch.setattr(url_templates, "_ahead", lambda todo: rounds.append(1) or true(todo))
+    path = [f"s{i}" for i in range(200)]
+    rows = [("h", "/".join([*path[:n], *end]), 1, 0, 0) for n, end in ((200, []), (50, []), (120, ["x"]), (200, ["y"]))]
+    got = {r["shape"]: r["template"] for r in url_templates.templates(spark.createDataFrame(rows, "host string, shape string, n long, labelled long, good long")).collect()}
+    assert len(got) == 4 and len(rounds) == 1 and got["/".join(path[:50])] == "/" + "/".join(path[:50])
 
 
 def test_url_templates_without_rows(spark):
@@ -251,19 +340,56 @@ def test_url_templates_without_rows(spark):
 # ---- top-k
 
 
+def brute_top(x, ids, k):
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    s = np.round(u @ u.T, 6)
+    return {i: [(j, s[a, b]) for b, j in sorted(enumerate(ids), key=lambda bj: (-s[a, bj[0]], bj[1])) if j != i][:k] for a, i in enumerate(ids)}
+
+
 @pytest.mark.parametrize("block", [16, 4096])
 def test_top_k_against_brute_force(spark, block):
     rnd = np.random.default_rng(4)
     x = rnd.normal(size=(180, 8))
     x[100:140] = x[:40]  # ties
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(0, x[0].tolist()), (500, None), (501, []), (502, [0.0] * 8), (503, [1.0]), (None, x[3].tolist()), (504, [float("nan")] * 8)]
-    got = {(r["vec_id"], r["rank"]): (r["neighbor_id"], r["similarity"]) for r in pivot_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 5, block=block).collect()}
-    u = x / np.linalg.norm(x, axis=1, keepdims=True)
-    s = np.round(u @ u.T, 6)
-    for i in range(180):
-        best = sorted((j for j in range(180) if j != i), key=lambda j: (-s[i, j], j))[:5]
-        assert [got[i, r + 1][0] for r in range(5)] == best
-    assert len(got) == 180 * 5
+    df = spark.createDataFrame([(*r, "z") for r in rows], "vec_id long, embedding array<double>, block string")
+    want = brute_top(x, list(range(180)), 5)
+    for asked in (None, df.where("vec_id is null or vec_id % 7 = 0")):
+        got = {}
+        for r in pivot_search.top_k(df, asked, 5, block=block, pivots=5).collect():
+            got.setdefault(r["vec_id"], {})[r["rank"]] = (r["neighbor_id"], r["similarity"])
+        assert set(got) == {i for i in range(180) if asked is None or i % 7 == 0}
+        assert all([got[i][r + 1] for r in range(5)] == want[i] for i in got)
+
+
+def test_top_k_with_a_third_of_copies(spark):
+    rnd = np.random.default_rng(6)
+    x = rnd.normal(size=(90, 6))
+    x[30:60] = x[7]
+    want = brute_top(x, list(range(90)), 4)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, `a.b` array<float>").withColumnRenamed("a.b", "x.y")
+    got = {(r["vec_id"], r["rank"]): r["neighbor_id"] for r in pivot_search.top_k(df, df.where("vec_id < 40"), 4, vector_col="x.y", block=8).collect()}
+    assert got == {(i, r + 1): want[i][r][0] for i in range(40) for r in range(4)}
+
+
+def test_pivot_bounds(spark):
+    """The table's bound lies between the triangle inequality's and the distance, and spares evaluations where vectors cluster."""
+    rnd = np.random.default_rng(5)
+    x = rnd.normal(size=(300, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    p = pivot_search.Pivots(x[:9])
+    d = pivot_search.distances(x, p.vectors)
+    rows = p.rows(d)
+    bound, true = pivot_search.distances(rows, rows), pivot_search.distances(x, x)
+    triangle = np.abs(d[:, None, :] - d[None, :, :]).max(axis=2)
+    assert (bound <= true + 1e-6).all() and (bound >= triangle - 1e-6).all()
+    low = rnd.normal(size=(2000, 6)) @ rnd.normal(size=(6, 64))
+    low /= np.linalg.norm(low, axis=1, keepdims=True)
+    p = pivot_search.Pivots(pivot_search.spread(low, 8))
+    best = pivot_search.Best(20, 10)
+    done = pivot_search.search_block(best, np.arange(20), np.arange(20), low[:20], p.rows(pivot_search.distances(low[:20], p.vectors)), np.arange(40), low[:40], p.rows(pivot_search.distances(low[:40], p.vectors)))
+    done = pivot_search.search_block(best, np.arange(20), np.arange(20), low[:20], p.rows(pivot_search.distances(low[:20], p.vectors)), np.arange(40, 2000), low[40:], p.rows(pivot_search.distances(low[40:], p.vectors)))
+    assert done < 0.05 * 20 * 1960
 
 
 def test_top_k_few_or_none(spark):
@@ -290,6 +416,40 @@ def test_shards_are_equal_and_ordered(spark):
     assert len(size) == 8 and all(abs(s - mean) <= 2 * sharding.TOLERANCE * mean + 160 for s in size.values())
 
 
+def brute_marks(rows, shards):
+    """Of rows (key, bytes), for each bound between shards the target and the sums below all keys."""
+    at, below = 0, []
+    for k, n in sorted(rows):
+        below.append((k, at))
+        at += n
+    return [at * i / shards for i in range(1, shards)], below, at
+
+
+@pytest.mark.parametrize("most", [5, 1000])
+def test_splitters_against_exact_ones(spark, most):
+    rnd = random.Random(11)
+    rows = [(None if rnd.random() < 0.05 else rnd.choice([7, rnd.randint(0, 50), rnd.randint(-(2**62), 2**62)]), "x" * rnd.randint(0, 60), i) for i in range(2500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, order_key int")
+    out = sharding.sharded(df, shards=12, most=most)
+    got = [(r["shard"], r["doc_id"], len(r["text"]), r["order_key"]) for r in out.collect()]
+    assert sorted(g[3] for g in got) == list(range(2500)) and out.columns == [*df.columns, "shard"]
+    ids = [(s, -(2**63) if i is None else i) for s, i, _, _ in got]
+    assert ids == sorted(ids), "shards and rows within ascend with the id, nulls first"
+    total, at = sum(g[2] for g in got), 0
+    for s in range(11):
+        at += sum(g[2] for g in got if g[0] == s)
+        # the exact bound lies within a row, the tolerance and what a group of shards was off by
+        assert abs(at - total * (s + 1) / 12) <= 60 + 2 * sharding.TOLERANCE * total / 12, s
+
+
+def test_shards_of_a_very_large_text_and_ties(spark):
+    rows = [(5, "x" * 400_000)] + [(7, f"{i}" * 50) for i in range(300)] + [(9, "same")] * 40
+    got = sharding.sharded(spark.createDataFrame(rows, "doc_id long, text string"), shards=6, most=2).collect()
+    assert len(got) == len(rows) and len({r["shard"] for r in got if r["doc_id"] == 9}) == 1, "equal rows stay together"
+    got = sharding.sharded(spark.createDataFrame(rows[1:301], "doc_id long, text string"), shards=4).collect()
+    assert len({r["shard"] for r in got}) == 4, "rows of one id are split by their hash"
+
+
 def test_shards_odd_rows(odd):
     out = sharding.sharded(odd.withColumnRenamed("source", "shard"), shards=3)
     assert out.columns[-1] == "shard_" and out.count() == len(ODD)
@@ -351,8 +511,8 @@ def test_language_rejects_other_latin_languages_blobs_and_markup(spark):
 # ---- exact dedup
 
 
-@pytest.mark.parametrize("memory", [300, 1 << 27])
-def test_exact_against_brute_force(spark, memory):
+@pytest.mark.parametrize(("memory", "hot"), [(300, 1 << 28), (1 << 27, 1 << 28), (1 << 27, 2000), (300, 500)])
+def test_exact_against_brute_force(spark, memory, hot):
     rnd = random.Random(6)
     rows = [(i, "t" * rnd.randint(0, 40) + rnd.choice(["", "é"])) for i in range(400)]
     rnd.shuffle(rows)
@@ -361,12 +521,15 @@ def test_exact_against_brute_force(spark, memory):
     for i, t in sorted(rows):
         first.setdefault(t, i)
     want = sorted((i, first[t]) for i, t in rows if first[t] != i)
-    assert sorted(map(tuple, exact_dedup.duplicates(df, memory_bytes=memory).collect())) == want
-    assert sorted(r["doc_id"] for r in exact_dedup.deduplicated(df, memory_bytes=memory).collect()) == sorted(first.values())
+    assert sorted(map(tuple, exact_dedup.duplicates(df, memory_bytes=memory, hot_bytes=hot).collect())) == want
+    assert sorted(r["doc_id"] for r in exact_dedup.deduplicated(df, memory_bytes=memory, hot_bytes=hot).collect()) == sorted(first.values())
 
 
-def test_exact_odd_rows(odd):
-    assert sorted(map(str, map(tuple, exact_dedup.duplicates(odd).collect()))) == sorted(map(str, [(1, 1), (4, 1), (None, 1)]))
-    kept = exact_dedup.deduplicated(odd)
+@pytest.mark.parametrize("hot", [1 << 28, 100])
+def test_exact_odd_rows(odd, hot):
+    """Hot texts give what others give: repeated rows, null ids, null texts and a column of the name of a helper's."""
+    assert sorted(map(str, map(tuple, exact_dedup.duplicates(odd, hot_bytes=hot).collect()))) == sorted(map(str, [(1, 1), (4, 1), (None, 1)]))
+    kept = exact_dedup.deduplicated(odd, hot_bytes=hot)
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 3
+    assert sorted(str(r["text"])[:9] for r in kept.collect()) == sorted(["a b c d", "None", "None", "", "lorem ips", " \n\t!"])
     assert exact_dedup.deduplicated(odd.limit(0)).count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -28,18 +29,29 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that spark.checkpoint.dir names; a local session without one gets its own."""
-    spark: SparkSession = df.sparkSession
+def _shared(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names; a local session without one gets its own."""
     sc = spark.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         named = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="corpuscle-"))
+        sc.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="corpuscle-"))
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint in the shared folder."""
+    _shared(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, what: str) -> str:
+    """A new place in the shared folder, as a URI; it goes with the folder."""
+    base = _shared(spark)
+    return f"{base if ':' in base else 'file://' + base}/{what}-{uuid.uuid4().hex}"
+
+
 def ordered_pair(df: DataFrame, a: str = "src", b: str = "dst") -> DataFrame:
     """Endpoints in ascending order."""
     return df.withColumns({a: F.least(a, b), b: F.greatest(a, b)})

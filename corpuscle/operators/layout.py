@@ -41,16 +41,17 @@ def choose(candidates: DataFrame, keys: list[str]) -> DataFrame:
 
     candidates has `keys`, method, text, confidence, image_cover and seq, the order of reading.  A page of blank readings keeps
     the first.  Credible embedded text covered less than three quarters by images is taken at once.  Otherwise the best vision
-    and tesseract readings gain up to .08 for agreeing, embedded text wins within .03 of the best, and then the highest score.
+    and tesseract readings gain up to .08 for agreeing, credible embedded text wins within .03 of the best, and then the highest
+    score.
     """
-    rows = scored(candidates)
+    rows = scored(candidates).withColumn("credible", native_is_credible(F.col("metrics"), F.col("score")) & F.col("method").startswith("native"))
     text = F.length(F.trim("text")) > 0
-    native, vision, tess = (F.col("method").startswith(m) for m in ("native", "apple", "tesseract"))
+    vision, tess = (F.col("method").startswith(m) for m in ("apple", "tesseract"))
     take = lambda when, value, by: F.max_by(F.when(when, value), F.when(when, by))
     by = F.struct("score", -F.col("seq"))
     page = rows.groupBy(*keys).agg(
         F.bool_or(text).alias("some"),
-        F.bool_or(native & native_is_credible(F.col("metrics"), F.col("score")) & (F.col("image_cover") < 0.75) & text).alias("sure"),
+        F.bool_or(F.col("credible") & (F.col("image_cover") < 0.75) & text).alias("sure"),
         take(vision & text, F.col("text"), by).alias("v_text"), take(vision & text, F.col("seq"), by).alias("v_seq"),
         take(tess & text, F.col("text"), by).alias("t_text"), take(tess & text, F.col("seq"), by).alias("t_seq"),
     )
@@ -60,10 +61,11 @@ def choose(candidates: DataFrame, keys: list[str]) -> DataFrame:
     both = both.withColumn("score", F.when(~F.col("sure") & F.col("some"), F.least(F.lit(1.0), F.col("score") + F.coalesce(bonus, F.lit(0.0)))).otherwise(F.col("score")))
     both = both.withColumn("top", F.max(F.when(text, F.col("score"))).over(Window.partitionBy(*keys)))
     order = (
-        F.when(~F.col("some"), 0).when(F.col("sure") & native, 0).when(native & text & (F.col("score") >= F.col("top") - 0.03), 1).when(text, 2).otherwise(3)
+        F.when(~F.col("some"), 0).when(F.col("sure") & F.col("credible") & (F.col("image_cover") < 0.75) & text, 0)
+        .when(F.col("credible") & text & (F.col("score") >= F.col("top") - 0.03), 1).when(text, 2).otherwise(3)
     )
     return first_by(both, keys, order, F.when(F.col("some"), -F.col("score")).otherwise(F.lit(0.0)), F.col("seq")).drop(
-        "some", "sure", "v_text", "v_seq", "t_text", "t_seq", "top"
+        "some", "sure", "credible", "v_text", "v_seq", "t_text", "t_seq", "top"
     )
 
 

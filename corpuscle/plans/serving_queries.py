@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions import text
-from corpuscle.operators import evaluation, release, serving
+from corpuscle.operators import evaluation, serving
 from corpuscle.plans.base import joined, pages, table, turns
 
 WORDS = "the and treaty of the"
@@ -90,11 +90,6 @@ def entities_of(spark: SparkSession, d: str) -> DataFrame:
     return serving.entities_of(links, _nodes(spark, d), 6).select("document_id", "node_id", "label", "confidence", "rank")
 
 
-def published_documents(spark: SparkSession, d: str) -> DataFrame:
-    p = pages(spark, d)
-    return release.corpus_summary(p.select("doc_id", F.col("page_count").alias("pages"), "title", "treaty_id", "year", F.col("review_required").cast("int").alias("review_pages")))
-
-
 def confusion_sweep(spark: SparkSession, d: str) -> DataFrame:
     li = table(spark, d, "lineitem")
     key = F.concat_ws("-", "l_orderkey", "l_linenumber")
@@ -111,7 +106,7 @@ _NO = "no as (select 'p' || p_partkey as node_id, 'Place' as type, p_name as lab
 
 QUERIES = [
     weighted_degree, node_budget, edge_cap, graph_view, conversation_summary, facets, page_groups, inverted_index, keyword_search, keyword_overlap, bm25_search, related_documents, entities_of,
-    published_documents, confusion_sweep,
+    confusion_sweep,
 ]
 SQL = {
     "weighted_degree": f"with {_DEG} select * from dg",
@@ -136,6 +131,12 @@ SQL = {
         r as (select *, row_number() over (partition by document_id order by score desc, other_id, type)::int as rank from b) select * from r where rank <= 4""",
     "entities_of": f"""with {_ED}, {_NO}, m as (select dst as document_id, src as node_id, max(weight / 50) as confidence from ed group by 1, 2),
         r as (select *, row_number() over (partition by document_id order by confidence desc, node_id)::int as rank from m) select document_id, r.node_id, label, confidence, rank from r join no using (node_id) where rank <= 6""",
+    "bm25_search": r"""with t as (select doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}\p{M}_]+')) as token from documents), i as (select doc_id, token, count(*) as tf from t group by all),
+        st as (select sum(tf) / count(distinct doc_id) as mean, count(distinct doc_id) as docs from i), ln as (select doc_id, sum(tf) as len from i group by 1),
+        q as (select * from (values ('nation', 6, 1), ('threea', 6, 1)) v(term, n, far)),
+        f as (select i.*, term, case when token = term then 1.0 when starts_with(token, term) then 0.375 * n / length(token) when levenshtein(token, term) <= far then 0.45 * (1 - levenshtein(token, term) / n) end as w from i, q),
+        g as (select * from f where w is not null), d as (select token, count(distinct doc_id) as df from g group by 1)
+        select doc_id, round(sum(w * ln(1 + (docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (1 - 0.7 + 0.7 * len / mean))), 6)::double as score from g join d using (token) join ln using (doc_id), st group by 1 order by score desc, doc_id limit 20""",
     "confusion_sweep": """with g as (select * from (values (0, 0.75), (1, 0.95)) v(config, dup)), c as (select l_returnflag = 'A' as pos, l_discount * 10 as x, l_tax * 12 as s from lineitem where l_returnflag in ('A', 'N')),
         p as (select config, pos, case when x >= dup then 'duplicate' when x >= 0.45 then 'c' when s >= 0.65 then 'k' when s >= 0.35 then 'w' end as t from c, g),
         n as (select config, count(*) filter (pos and t = 'duplicate') as tp, count(*) filter (t is not null and not (pos and t = 'duplicate')) as fp, count(*) filter (pos and t is distinct from 'duplicate') as fn,

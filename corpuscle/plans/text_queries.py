@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions import ids, quality, text
 from corpuscle.functions.dates import calendar_valid, extract_dates
 from corpuscle.operators import chunking, inventory, layout, release, similarity
-from corpuscle.operators.common import cut
+from corpuscle.operators.common import cut, small
 from corpuscle.plans.base import BAND, QUALITY, joined, pages, table, turns, year_of
 
 CFG = similarity.Config(translation=0.30, weak_link=0.20)
@@ -56,7 +56,7 @@ def period_century(spark: SparkSession, d: str) -> DataFrame:
 def document_tags(spark: SparkSession, d: str) -> DataFrame:
     p = pages(spark, d)
     mapping = table(spark, d, "nation").select(F.lower(F.substring("n_name", 1, 2)).alias("doc_type"), F.lit("treaty").alias("instrument_type"), F.lit("binding").alias("legal_force")).dropDuplicates(["doc_type"])
-    rows = p.join(F.broadcast(mapping), "doc_type", "left")
+    rows = p.join(small(mapping), "doc_type", "left")
     return rows.select("doc_id", joined(release.document_tags(F.col("doc_type"), F.col("year"), F.col("instrument_type"), F.col("legal_force"))).alias("tags"))
 
 
@@ -93,23 +93,19 @@ def lexical_normal_form(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.normalise_lexical("text").alias("lexical"))
 
 
-def scripts_languages(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", joined(text.scripts_in_text("text")).alias("scripts"), joined(text.languages_in_text("text")).alias("languages"))
-
-
 def reading_agreement(spark: SparkSession, d: str) -> DataFrame:
     t = table(spark, d, "benchmark")
     return t.select("item_id", F.round(text.agreement(F.col("text"), F.upper(F.replace("text", F.lit("."), F.lit("")))), 6).alias("agreement"))
 
 
 def char_ngrams(spark: SparkSession, d: str) -> DataFrame:
-    g = text.char_ngrams(text.ascii_lexical(F.col("text")))
+    g = text.char_ngrams(text.normalise_lexical("text"))
     return table(spark, d, "documents").select("doc_id", g.alias("g")).select("doc_id", F.size("g").alias("n"), F.array_min("g").alias("first"), F.array_max("g").alias("last"))
 
 
 def _sigs(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return similarity.signatures(docs, "doc_id", text.ascii_lexical(F.col("text")))
+    return similarity.signatures(docs, "doc_id", text.normalise_lexical("text"))
 
 
 def minhash_signatures(spark: SparkSession, d: str) -> DataFrame:
@@ -121,7 +117,7 @@ def lexical_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shingle_jaccard_pairs(spark: SparkSession, d: str) -> DataFrame:
-    w = F.filter(F.split(text.ascii_lexical(F.col("text")), " "), lambda x: x != "")
+    w = F.filter(F.split(text.normalise_lexical("text"), " "), lambda x: x != "")
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), w.alias("w")).where(F.size("w") >= 3)
     grams = docs.select("id", F.array_distinct(F.zip_with(F.zip_with("w", F.expr("slice(w, 2, size(w))"), lambda a, b: F.concat_ws(" ", a, b)), F.expr("slice(w, 3, size(w))"), lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))).alias("g"))
     return similarity.shingle_pairs(grams.select("id", F.array_compact("g").alias("grams")))
@@ -181,14 +177,6 @@ def chunk_windows(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("chunk_id", "document_id", "chunk_index", F.length("text").alias("chars"), "text_sha256")
 
 
-def recurring_lines(spark: SparkSession, d: str) -> DataFrame:
-    return layout.recurring_lines(turns(spark, d), ["document_id"])
-
-
-def cleaned_pages(spark: SparkSession, d: str) -> DataFrame:
-    return layout.cleaned(turns(spark, d), ["document_id"]).select("document_id", "page_number", F.length("cleaned_text").alias("chars"), F.size("removed_lines").alias("removed"))
-
-
 def word_lines(spark: SparkSession, d: str) -> DataFrame:
     w = table(spark, d, "lineitem").select(
         "l_orderkey", (F.col("l_linenumber") % 2).alias("line"), F.col("l_linenumber").alias("word_num"), F.concat("l_returnflag", "l_linestatus", F.col("l_suppkey").cast("string")).alias("text"),
@@ -198,15 +186,6 @@ def word_lines(spark: SparkSession, d: str) -> DataFrame:
     return out.select("l_orderkey", "line", "text", "confidence", *[F.round(F.col("bbox")[i], 6).alias(f"b{i}") for i in range(4)])
 
 
-def chosen_readings(spark: SparkSession, d: str) -> DataFrame:
-    b = table(spark, d, "benchmark")
-    def reading(method: str, t, conf: float, cover: float, seq: int) -> DataFrame:  # noqa: ANN001
-        return b.select("item_id", F.lit(method).alias("method"), t.alias("text"), F.lit(conf).alias("confidence"), F.lit(cover).alias("image_cover"), F.lit(seq).alias("seq"))
-    c = F.col("text")
-    rows = reading("native_text", F.when(F.col("item_id") % 3 == 0, c).otherwise(F.lit("")), 0.99, 0.2, 0).unionByName(reading("apple_vision", c, 0.9, 0.2, 1)).unionByName(reading("tesseract", F.upper(c), 0.8, 0.2, 2))
-    return layout.choose(rows, ["item_id"]).select("item_id", "method", "seq")
-
-
 def date_mentions(spark: SparkSession, d: str) -> DataFrame:
     o = table(spark, d, "orders")
     t = F.concat(F.lit("Fait le "), F.dayofmonth("o_orderdate").cast("string"), F.lit(" mars "), F.year("o_orderdate").cast("string"), F.lit(", revu "), F.date_format("o_orderdate", "d/M/yyyy"), F.lit("."))
@@ -225,7 +204,7 @@ def contract_violations(spark: SparkSession, d: str) -> DataFrame:
 def metadata_join(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier")
     files = s.select(F.concat("s_name", F.lit(".PDF")).alias("filename"), F.sha2((F.col("s_suppkey") % 40).cast("string"), 256).alias("sha256"))
-    c = table(spark, d, "customer").where("c_custkey % 2 = 0")
+    c = table(spark, d, "customer")
     records = c.select(F.lower(F.concat(F.replace("c_name", F.lit("Customer"), F.lit("Supplier")), F.lit(".pdf"))).alias("filename"), F.col("c_name").alias("title"), F.col("c_mktsegment").alias("treaty_id"), F.lit(None).cast("string").alias("treaty_number"), F.lit("x").alias("doc_type"), (F.col("c_nationkey") + 1900).alias("year"))
     out = inventory.metadata_view(inventory.with_metadata(files, inventory.group_metadata(records)))
     return out.select("document_id", "canonical_filename", "title", "treaty_id", "year", F.size("metadata").alias("n"))
@@ -245,11 +224,11 @@ def type_distributions(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = [
     exact_dup_groups, quality_metrics, quality_score_band, review_reasons, review_queue, page_tags, period_century, document_tags, compact_excerpt, keywords, context_windows, identifiers, unicode_slugs,
-    lexical_normal_form, scripts_languages, reading_agreement, char_ngrams, minhash_signatures, lexical_pairs, shingle_jaccard_pairs, knn_cosine, fused_edges, document_edges, components, communities,
-    similarity_summary, embedding_cache, chunk_windows, recurring_lines, cleaned_pages, word_lines, chosen_readings, date_mentions, contract_violations, metadata_join, pipe_list, type_distributions,
+    lexical_normal_form, reading_agreement, char_ngrams, minhash_signatures, lexical_pairs, shingle_jaccard_pairs, knn_cosine, fused_edges, document_edges, components, communities,
+    similarity_summary, embedding_cache, chunk_windows, word_lines, date_mentions, contract_violations, metadata_join, pipe_list, type_distributions,
 ]
 
-_LEX = "trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'))"
+_LEX = "trim(regexp_replace(lower(strip_accents(replace(text, 'ß', 'ss'))), '[^a-z0-9]+', ' ', 'g'))"
 _GRAMS = f"""
 gx as (select doc_id, replace({_LEX}, ' ', '') as s from documents),
 gg as (select doc_id, case when length(s) = 0 then []::varchar[] when length(s) <= 5 then [s] else list_distinct(list_transform(range(1, length(s) - 3), lambda i: substr(s, i, 5))) end as g from gx)
@@ -318,7 +297,8 @@ SQL = {
         case when p_partkey % 3 = 0 then 'ent:wd:Q' || p_partkey else 'ent:Place:' || slug end as node_id,
         case when p_partkey % 2 = 0 then 'similar_to:' || least(p_type, p_name) || '->' || greatest(p_type, p_name) else 'party_to:' || p_type || '->' || p_name end as edge_key,
         sha256(p_brand || ':' || p_size || ':1:9:Place:' || p_name) as mention_id, sha256(p_brand || chr(0) || sha) as scope from s""",
-    "lexical_normal_form": f"select doc_id, trim(regexp_replace(lower(strip_accents(replace(text, 'ß', 'ss'))), '[^a-z0-9]+', ' ', 'g')) as lexical from documents",
+    "lexical_normal_form": f"select doc_id, {_LEX} as lexical from documents",
+    "unicode_slugs": "select doc_id, coalesce(nullif(trim(regexp_replace(lower(strip_accents(replace(text, 'ß', 'ss'))), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'unknown') as slug, url_encode(text) as uri from documents",
     "char_ngrams": f"with {_GRAMS} select doc_id, len(g) as n, list_min(g) as first, list_max(g) as last from gg",
     "minhash_signatures": f"with {_SIG} select doc_id, md5(array_to_string(sig, ',')) as signature from sg",
     "lexical_pairs": f"with {_LEXICAL} select src, dst, jaccard from lp",
@@ -349,18 +329,16 @@ SQL = {
     "word_lines": """with w as (select l_orderkey, l_linenumber % 2 as line, l_linenumber as wn, l_returnflag || l_linestatus || l_suppkey as t, l_discount * 10 as conf, l_tax, l_discount from lineitem)
         select l_orderkey, line, string_agg(t, ' ' order by wn, t) as text, round(sum(conf * length(t)) / sum(length(t)), 6) as confidence, round(min(l_tax), 6) as b0, round(min(l_discount), 6) as b1,
         round(max(l_tax + 0.1), 6) as b2, round(max(l_discount + 0.1), 6) as b3 from w group by 1, 2""",
-    "chosen_readings": None,
     "date_mentions": """with o as (select o_orderkey, day(o_orderdate) as d, month(o_orderdate) as m, year(o_orderdate) as y from orders)
         select o_orderkey, 'le ' || d || ' mars ' || y as surface, 5 as char_start, 5 + length('le ' || d || ' mars ' || y) as char_end, y || '-03-' || lpad(d::varchar, 2, '0') as iso_date, 0.95::double as confidence, true as in_calendar from o
         union all select o_orderkey, d || '/' || m || '/' || y, 5 + length('le ' || d || ' mars ' || y || ', revu '), 5 + length('le ' || d || ' mars ' || y || ', revu ' || d || '/' || m || '/' || y),
         y || '-' || lpad(m::varchar, 2, '0') || '-' || lpad(d::varchar, 2, '0'), 0.85::double, true from o""",
     "contract_violations": """select 'd' || doc_id as key, 'page_number' as "column", 'min' as rule from documents where doc_id % 50 = 0 union all select 'd' || doc_id, 'quality_score', 'required' from documents where doc_id % 70 = 0
         union all select 'd' || doc_id, 'tags', 'items' from documents where doc_id % 90 = 0""",
-    "metadata_join": """with f as (select s_name || '.PDF' as filename, s_suppkey % 40 as h from supplier), r as (select lower(replace(c_name, 'Customer', 'Supplier')) || '.pdf' as k, * from customer where c_custkey % 2 = 0),
+    "metadata_join": """with f as (select s_name || '.PDF' as filename, s_suppkey % 40 as h from supplier), r as (select lower(replace(c_name, 'Customer', 'Supplier')) || '.pdf' as k, * from customer),
         g as (select k, min(c_name) as title, arg_min(c_mktsegment, c_name) as treaty_id, min(c_nationkey + 1900) as year, count(*) as n from r group by k)
         select replace(filename, '.PDF', '') as document_id, first_value(filename) over (partition by h order by lower(filename)) as canonical_filename, coalesce(title, '') as title, coalesce(treaty_id, '') as treaty_id, year, coalesce(n, 0) as n
         from f left join g on lower(filename) = k""",
     "pipe_list": f"with {_PIPES} select * from pr",
     "type_distributions": f"with {_PIPES} select 'doc_type' as kind, doc_type as value, count(*) as n from pr group by 2 union all select 'year', year::varchar, count(*) from pr group by 2 union all select 'treaties', null, count(distinct treaty_id) from pr",
 }
-SQL = {k: v for k, v in SQL.items() if v}

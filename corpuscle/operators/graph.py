@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from corpuscle.functions.text import uri_component
 from corpuscle.operators.common import first_by, small
 
 VERSION = "1"
+_WORD = re.compile(r"\w")
 MIN_CONFIDENCE = 0.70
 UNKNOWN = ("unknown", "unknown")
 _HIT = "array<struct<label:string,type:string,qid:string,surface:string,char_start:int,char_end:int>>"
@@ -53,23 +55,24 @@ def match_gazetteer(pages: DataFrame, entries: DataFrame, text_col: str = "text"
     shared = pages.sparkSession.sparkContext.broadcast(by)
 
     @F.pandas_udf(_HIT)
-    def find(text: pd.Series) -> pd.Series:
+    def find(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         names = shared.value
-        # overlapping finds of different names matter for the choice, so each place is tried with every length
+        # overlapping finds of different names matter for the choice: each place is tried with the longest name, then with its beginnings
         words = re.compile(r"(?<!\w)(?=(" + "|".join(re.escape(n) for n in sorted(names, key=len, reverse=True)) + r")(?!\w))", re.I) if names else None
-        shorter = {n: [m for m in names if m != n and n.startswith(m)] for n in names}
+        lengths = sorted({len(n) for n in names})
 
         def one(t: str | None) -> list[dict]:
             hits = []
             for m in words.finditer(t or "") if words else []:
-                found = t[m.start() : m.start() + len(m[1])]
-                for name in [found.lower(), *shorter.get(found.lower(), [])]:
-                    end = m.start() + len(name)
-                    if name in names and not (end < len(t) and re.match(r"\w", t[end])):
+                whole = t[m.start() : m.start() + len(m[1])].lower()
+                for n in lengths:
+                    name, end = whole[:n], m.start() + n
+                    if n <= len(whole) and name in names and not (end < len(t) and _WORD.match(t[end])):
                         hits += [(m.start(), end, label, kind, qid, t[m.start() : end]) for label, kind, qid in names[name]]
             return [{"label": h[2], "type": h[3], "qid": h[4], "surface": h[5], "char_start": h[0], "char_end": h[1]} for h in drop_overlaps(hits)]
 
-        return text.map(one)
+        for text in parts:
+            yield text.map(one)
 
     return pages.withColumn("hits", find(F.col(text_col)))
 
@@ -290,6 +293,45 @@ def match_patterns(triples_: DataFrame, patterns: list[tuple[str, str, str]]) ->
     return out
 
 
+_TOKEN = re.compile(r"""\s*(?:(\?\w+)|<([^>]*)>|"((?:[^"\\]|\\.)*)"|([A-Za-z_][\w-]*:[\w.-]*|a\b|\w+|\*)|([{}.;,]))""")
+
+
+def select(triples_: DataFrame, query: str) -> DataFrame:
+    """The solutions of a SELECT query text: variables or *, DISTINCT, a block of triple patterns with ; and , and LIMIT.
+
+    Updates are refused.  Terms are variables, <iris>, prefixed names as the triples have them, "literals" and `a` for the type.
+    """
+    if not is_read_only(query):
+        raise ValueError("only queries that read are allowed")
+    words, at = [], 0
+    text = re.sub(r"(?im)^\s*prefix\s+\S+\s+<[^>]*>", "", query).strip()
+    while at < len(text):
+        m = _TOKEN.match(text, at)
+        if not m:
+            raise ValueError(f"can't read {text[at : at + 20]!r}")
+        words.append(next((kind, x) for kind, x in zip("vilnp", m.groups(), strict=True) if x is not None))
+        at = m.end()
+    plain = [x.lower() if kind == "n" else x for kind, x in words]
+    if plain[0] != "select" or "{" not in plain or "}" not in plain:
+        raise ValueError("a query is SELECT … WHERE { … }")
+    begin, end = plain.index("{"), plain.index("}")
+    shown = [x[1:] for kind, x in words[1:begin] if kind == "v"]
+    patterns, part = [], []
+    for kind, x in [*words[begin + 1 : end], ("p", ".")]:
+        if kind != "p":
+            part.append("rdf:type" if (kind, x) == ("n", "a") else x)
+            continue
+        if len(part) == 3:
+            patterns.append(tuple(part))
+        elif part:
+            raise ValueError(f"a pattern has three terms, not {part}")
+        part = part[:2] if x == "," else part[:1] if x == ";" else []
+    out = match_patterns(triples_, patterns)
+    out = out.select(*shown) if shown else out
+    out = out.distinct() if "distinct" in plain[:begin] else out
+    return out.limit(int(plain[plain.index("limit") + 1])) if "limit" in plain[end:] else out
+
+
 def is_read_only(query: str) -> bool:
     """Whether a SPARQL text is a query and has no word of an update; whole words count, unlike "created"."""
     words = re.findall(r"\w+", query.lower())

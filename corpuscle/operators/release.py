@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuscle.functions.text import compact, quality_band
+from corpuscle.functions.text import quality_band
 from corpuscle.operators.common import first_by
 
 #: Spans of years by period.
@@ -183,9 +183,4 @@ def mapping_differences(types: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def first_namespace(tags: Column, namespace: str) -> Column:
     """What follows the colon in the first tag of a namespace, or null."""
-    return F.substring(F.get(F.filter(tags, lambda t: t.startswith(namespace + ":")), F.lit(0)), len(namespace) + 2, 1 << 20)
-
-
-def preview(text: Column, limit: int = 420) -> Column:
-    x = compact(text)
-    return F.when(F.length(x) <= limit, x).otherwise(F.concat(F.rtrim(F.substring(x, 1, limit - 1)), F.lit("…")))
+    return F.substr(F.get(F.filter(tags, lambda t: t.startswith(namespace + ":")), F.lit(0)), F.lit(len(namespace) + 2))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from corpuscle.plans import graph_queries, release_queries, serving_queries, state_queries, text_queries
+from corpuscle.plans import graph_queries, release_queries, serving_queries, source_queries, state_queries, text_queries
 from corpuscle.plans.base import Query
 
-MODULES = (text_queries, graph_queries, state_queries, serving_queries, release_queries)
+MODULES = (text_queries, graph_queries, state_queries, serving_queries, release_queries, source_queries)
 
 
 def queries() -> dict[str, Query]:

@@ -83,6 +83,26 @@ def write_json(df: DataFrame, path: str) -> None:
     write_jsonl(finite(df), path)
 
 
+def put(spark: SparkSession, path: str, content: bytes = b"") -> None:
+    """Writes a small file; it is there whole or not at all to those who list the folder by its final name."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    out.write(bytearray(content))
+    out.close()
+
+
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what a folder holds, in order; none if there is no folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def write_documents(df: DataFrame, path: str, id_col: str, text_col: str) -> None:
     """A text per document, in folders by id."""
     df.select(F.col(id_col), F.col(text_col).alias("value")).write.mode("overwrite").partitionBy(id_col).text(path)
@@ -96,9 +116,9 @@ def ntriples(triples: DataFrame, prefixes: dict[str, str] | None = None) -> Data
     }
 
     def term(c: Column) -> Column:
-        out = F.when(c.startswith("_:"), F.concat(F.lit("_:b"), F.substring(c, 3, 200)))
+        out = F.when(c.startswith("_:"), F.concat(F.lit("_:b"), F.substr(c, F.lit(3))))
         for k, v in names.items():
-            out = out.when(c.startswith(k + ":"), F.concat(F.lit("<" + v), F.substring(c, len(k) + 2, 4000), F.lit(">")))
+            out = out.when(c.startswith(k + ":"), F.concat(F.lit("<" + v), F.substr(c, F.lit(len(k) + 2)), F.lit(">")))
         return out.otherwise(F.concat(F.lit("<"), c, F.lit(">")))
 
     text = F.col("o")
@@ -137,7 +157,7 @@ def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """(sha256, path): hashes of all files of a tree by relative path, in its order.  Written after, it isn't among them."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     root = folder.removeprefix("file://").rstrip("/") + "/"
-    relative = F.substring_index("path", F.lit(root), -1)
+    relative = F.url_decode(F.replace(F.substring_index("path", root, -1), F.lit("+"), F.lit("%2B")))
     return raw.select(F.sha2("content", 256).alias("sha256"), relative.alias("path")).orderBy("path")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpuscle.operators.state import save_pages
-from corpuscle.sources.io import exists
+from corpuscle.sources.io import names, put, remove
 
 PAGE = "sha256 string, page_number int, status string, result string, error string, pipeline_version string, seq long"
 REVIEW = "event_id string, source_sha256 string, page_number int, created_at timestamp, reviewer string, decision string"
@@ -28,22 +28,26 @@ class StateTable:
     def __init__(self, spark: SparkSession, folder: str, schema: str) -> None:
         self.spark, self.folder, self.schema = spark, folder.rstrip("/"), schema
 
-    def _pointer(self) -> str | None:
-        path = f"{self.folder}/CURRENT"
-        return self.spark.read.text(path).first()[0] if exists(self.spark, path) else None
+    def _versions(self) -> list[str]:
+        """Whole versions by number; an empty file of its name marks a version as whole."""
+        return names(self.spark, f"{self.folder}/CURRENT")
 
     def read(self) -> DataFrame:
-        now = self._pointer()
-        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/{now}") if now else self.spark.createDataFrame([], self.schema)
+        have = self._versions()
+        return self.spark.read.schema(self.schema).parquet(f"{self.folder}/{have[-1]}") if have else self.spark.createDataFrame([], self.schema)
 
     def replace(self, df: DataFrame) -> None:
-        """The new version, then the pointer to it; the version before the last is removed."""
-        before, now = self._pointer(), f"v-{uuid.uuid4().hex}"
+        """The new version, then its mark, which is made at once; two versions stay, as readers may still be at the one before.
+
+        Whenever this breaks off, the last whole version stays the current one.
+        """
+        have = self._versions()
+        now = f"v-{int(have[-1].split('-')[1]) + 1 if have else 0:012}-{uuid.uuid4().hex}"
         df.write.parquet(f"{self.folder}/{now}")
-        self.spark.createDataFrame([(now,)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.folder}/CURRENT")
-        if before:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{before}")
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        put(self.spark, f"{self.folder}/CURRENT/{now}")
+        for old in have[:-1]:
+            remove(self.spark, f"{self.folder}/CURRENT/{old}")
+            remove(self.spark, f"{self.folder}/{old}")
 
 
 def merge_pages(table: StateTable) -> Callable[[DataFrame, int], None]:

@@ -315,7 +315,7 @@ SQL = {
     "front_matter": r"""with p as (select 'c' || conv_id as document_id, turn + 1 as p, coalesce(text, '') as t from conversations),
         m as (select document_id, '---' || chr(10) || 'document_id: ' || document_id || chr(10) || 'title: "Talk \"' || document_id || '\" \\"' || chr(10) || 'pages: ' || count(*) || chr(10) || '---' || chr(10) || chr(10)
           || string_agg('<!-- page ' || p || ' -->' || chr(10) || chr(10) || t, chr(10) || chr(10) order by p, t) || chr(10) as m from p group by 1)
-        select document_id, length(m) as chars, md5(m) as hash from m""",
+        select document_id, length(m)::int as chars, md5(m) as hash from m""",
     "confusion_all": f"with {_CASES}, {_GRID}, {_PREDICTED}, {_COUNTS} select * from cr",
     "confusion_by_type": f"""with {_CASES}, gr as (select * from (values (0, 0.85::double, 0.5::double, 0.75::double, 0.35::double), (1, 0.95::double, 0.5::double, 0.75::double, 0.35::double)) v(config, dup, cr, tr, wl)), {_PREDICTED},
         h as (select *, pos and (e = 'any' or coalesce(t = e, false)) as hit from pr),

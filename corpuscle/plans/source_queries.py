@@ -229,7 +229,7 @@ SQL = {
         select p, count(*) as n, min(o) as least, max(o) as most from o group by p""",
     "select_query": f"with {_GRAPH} select distinct t.label, i.label as name from ge join gn i on i.node_id = ge.src join gn t on t.node_id = ge.dst where ge.type = 'about_topic'",
     "name_order": "select case when c_custkey % 2 = 0 then upper(c_name) else lower(c_name) end as filename, c_custkey from customer order by lower(c_name), 1 limit 20",
-    "recorded_errors": "select doc_id, length(substr(text, 1, 2000)) as chars, md5(substr(text, 1, 2000)) as hash from documents",
+    "recorded_errors": "select doc_id, length(substr(text, 1, 2000))::int as chars, md5(substr(text, 1, 2000)) as hash from documents",
     "loaded_pages": f"with {_P} select sha256, page_number, event_id from p where status = 'done' and ((sha256 = 's1' and page_number = 2) or (sha256 = 's2' and page_number = 1))",
     "streamed_page_state": f"with {_P} select sha256, page_number, event_id as seq, status from p",
     "streamed_pending": f"with {_P}, {_D}, {_J} select * from j except select * from f",

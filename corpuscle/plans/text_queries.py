@@ -337,7 +337,7 @@ SQL = {
         union all select 'd' || doc_id, 'tags', 'items' from documents where doc_id % 90 = 0""",
     "metadata_join": """with f as (select s_name || '.PDF' as filename, s_suppkey % 40 as h from supplier), r as (select lower(replace(c_name, 'Customer', 'Supplier')) || '.pdf' as k, * from customer),
         g as (select k, min(c_name) as title, arg_min(c_mktsegment, c_name) as treaty_id, min(c_nationkey + 1900) as year, count(*) as n from r group by k)
-        select replace(filename, '.PDF', '') as document_id, first_value(filename) over (partition by h order by lower(filename)) as canonical_filename, coalesce(title, '') as title, coalesce(treaty_id, '') as treaty_id, year, coalesce(n, 0) as n
+        select replace(filename, '.PDF', '') as document_id, first_value(filename) over (partition by h order by lower(filename)) as canonical_filename, coalesce(title, '') as title, coalesce(treaty_id, '') as treaty_id, year, coalesce(n, 0)::int as n
         from f left join g on lower(filename) = k""",
     "pipe_list": f"with {_PIPES} select * from pr",
     "type_distributions": f"with {_PIPES} select 'doc_type' as kind, doc_type as value, count(*) as n from pr group by 2 union all select 'year', year::varchar, count(*) from pr group by 2 union all select 'treaties', null, count(distinct treaty_id) from pr",

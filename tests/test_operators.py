@@ -1,7 +1,7 @@
 """Operators without SQL on small cases with known results."""
 
 from corpuscle.functions import text
-from corpuscle.operators import evaluation, similarity
+from corpuscle.operators import evaluation, graph, inventory, layout, similarity
 
 
 def found(spark, edges, nodes):
@@ -44,3 +44,92 @@ def test_negatives_are_found_beyond_the_next_documents(spark):
     assert set(got) == free and len(got) == 4
     assert evaluation.no_edge_negatives(r, e.limit(0), 60).count() == 60
     assert evaluation.no_edge_negatives(r.limit(0), e, 5).count() == 0
+
+
+def test_embedded_text_that_is_not_credible_does_not_win(spark):
+    good = "The parties agree to the terms of this convention and shall ratify it within one year of its signature here. "
+    readings = [("p", "native_text", good + "�", 0.99, 0.9, 0), ("p", "apple_vision", good, 0.95, 0.9, 1), ("q", "native_text", good, 0.8, 0.9, 0), ("q", "apple_vision", good + " ok", 0.85, 0.9, 1), ("r", "native_text", " ", 0.9, 0.0, 0), ("r", "tesseract", "", 0.9, 0.0, 1)]
+    df = spark.createDataFrame(readings, "page string, method string, text string, confidence double, image_cover double, seq int")
+    got = {r["page"]: r["method"] for r in layout.choose(df, ["page"]).collect()}
+    assert got == {"p": "apple_vision", "q": "native_text", "r": "native_text"}
+
+
+def test_agreement_against_common_blocks():
+    a, b = "The quick brown fox jumps over it", "the QUICK, brown cat jumps over it!"
+    x, y = "thequickbrownfoxjumpsoverit", "thequickbrowncatjumpsoverit"
+
+    def common(s, t):
+        best = max(((n, i, j) for i in range(len(s)) for j in range(len(t)) for n in range(1, min(len(s) - i, len(t) - j) + 1) if s[i : i + n] == t[j : j + n]), key=lambda m: (m[0], -m[1], -m[2]), default=None)
+        return best[0] + common(s[: best[1]], t[: best[2]]) + common(s[best[1] + best[0] :], t[best[2] + best[0] :]) if best else 0
+
+    assert text.agree(a, b) == 2 * common(x, y) / (len(x) + len(y))
+    assert text.agree(a, a.upper()) == 1.0 and text.agree("short", a) is None and text.agree(None, a) is None
+
+
+def test_names_found_against_every_place(spark):
+    names = [("New York", "Place"), ("York", "Place"), ("New", "Org"), ("york city", "Place"), ("é", "Org")]
+    entries = spark.createDataFrame([(n, [], None, None, None, t) for n, t in names], "label string, aliases array<string>, qid string, iso3 string, lang string, type string")
+    texts = ["New York City, new york; Newark éa é NEW", "", None, "yorknew york"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    got = {r["id"]: [(h["char_start"], h["char_end"], h["label"]) for h in r["hits"]] for r in graph.match_gazetteer(df, entries).collect()}
+
+    def brute(t):
+        hits = []
+        for n, _ in names:
+            hits += [(i, i + len(n), n) for i in range(len(t)) if t[i : i + len(n)].lower() == n.lower() and not (i and (t[i - 1].isalnum() or t[i - 1] == "_")) and not t[i + len(n) : i + len(n) + 1].isalnum()]
+        kept = []
+        for h in sorted(hits, key=lambda h: (h[0] - h[1], h[0])):
+            if all(h[1] <= k[0] or h[0] >= k[1] for k in kept):
+                kept.append(h)
+        return sorted(kept)
+
+    assert got == {i: brute(t or "") for i, t in enumerate(texts)}
+
+
+def test_files_without_metadata(spark):
+    files = spark.createDataFrame([("A.pdf", "h"), ("b.PDF", "h"), ("c.pdf", "x")], "filename string, sha256 string")
+    records = spark.createDataFrame([("a.PDF", "T", "t1", None, "law", 1950), ("A.pdf", "S", None, "n", None, 1940), ("z.pdf", "Z", None, None, None, None)], "filename string, title string, treaty_id string, treaty_number string, doc_type string, year int")
+    got = {r["document_id"]: r for r in inventory.metadata_view(inventory.with_metadata(files, inventory.group_metadata(records))).collect()}
+    assert len(got) == 3 and got["A"]["year"] == 1940 and len(got["A"]["metadata"]) == 2
+    assert got["b"]["canonical_filename"] == "A.pdf" and got["b"]["title"] == "" and got["b"]["year"] is None and got["c"]["metadata"] == []
+
+
+def test_phrases(spark):
+    known = spark.createDataFrame([("Règlement Général",)], "surface string")
+    page = "Selon le Comité Permanent, le Règlement Général, le Comité  Permanent siège. Comité permanent. La République."
+    df = spark.createDataFrame([(f"d{i}", 1, page) for i in range(3)], "document_id string, page_number int, text string")
+    got = {r["key"]: r for r in evaluation.mine_phrases(df, known, least=2).collect()}
+    assert set(got) >= {"comite permanent"} and "reglement general" not in got and "republique" not in got
+    r = got["comite permanent"]
+    assert (r["label"], r["count"], r["document_count"], r["sample_documents"]) == ("Comité Permanent", 6, 3, "d0|d1|d2") and len(r["examples"]) == 3
+
+
+def test_paragraphs():
+    page = "HEADER 1\n\nThe first line goes on\nand on with a hyphen-\nated word.\nNew sentence.\n- item\n\n\nFooter 9"
+    text_, removed = layout.clean_page(page, None, {"header #", "footer #"})
+    assert removed == ["HEADER 1", "Footer 9"] and text_.split("\n\n")[0].startswith("The first line goes on and on with a hyphen-")
+
+
+def test_flat_index_against_brute_force(spark):
+    import numpy as np
+
+    rnd = np.random.default_rng(3)
+    x = rnd.normal(size=(70, 5))
+    x[40:60] = x[3]
+    df = spark.createDataFrame([(f"n{i:02}", v.tolist()) for i, v in enumerate(x)], "id string, vector array<float>").repartition(3)
+    u = x.astype(np.float32).astype(float)
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    s = np.round(np.clip(u @ u.T, 0, 1), 6)
+    want = {(f"n{i:02}", f"n{j:02}"): s[i, j] for i in range(70) for j in sorted((j for j in range(70) if j != i), key=lambda j: (-s[i, j], j))[:4]}
+    for block in (8, 2048):
+        got = {(r["src"], r["dst"]): r["cosine"] for r in similarity.knn(df, 4, block).collect()}
+        assert got == want
+    assert similarity.knn(df.limit(0), 4).count() == 0
+
+
+def test_grams_hash_like_md5(spark):
+    from hashlib import md5
+
+    h = similarity.GramHashes(most=2)
+    for grams in ({"abcde", "é"}, {"x"}, {"abcde"}):
+        assert sorted(h.of(grams).tolist()) == sorted(int(md5(g.encode()).hexdigest()[:8], 16) % similarity.PRIME for g in grams)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuscle.llm.common import col, fresh
+from corpuscle.llm.common import col, fresh, map_arrow
 from corpuscle.llm.hashing import slices
 
 #: The vocabulary's place is a parameter; the file is read on the driver and broadcast.
@@ -340,7 +340,7 @@ def encode(docs: DataFrame, text_col: str = "text", tokenizer: str = TOKENIZER)
             for batch in slices(whole, place, 1 << 21):
                 yield pa.RecordBatch.from_arrays([*batch.columns, *_encoded(batch, place, bpe)], names=[*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def decode(rows: DataFrame, ids_col: str = "token_ids", out: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,9 +42,14 @@ def posix_dir(spark: SparkSession, what: str) -> str:
     base = shared_dir(spark)
     if "://" in base and not base.startswith("file://"):
         raise ValueError(f"spark.checkpoint.dir must be a mounted folder (file://) here, not {base}")
-    path = f"{base.removeprefix('file://').removeprefix('file:')}/{what}-{uuid.uuid4().hex}"
-    _made.append(f"file://{path}")
-    return path
+    return new_dir(spark, what).removeprefix("file://").removeprefix("file:")
+
+
+def new_dir(spark: SparkSession, what: str) -> str:
+    """A new place in the shared folder, as a URI; clean() removes it."""
+    base = shared_dir(spark)
+    _made.append(f"{base if ':' in base else 'file://' + base}/{what}-{uuid.uuid4().hex}")
+    return _made[-1]
 
 
 #: Folders that operators of this process have made for files which their lazy results read.
@@ -82,6 +88,18 @@ def written(df: DataFrame) -> DataFrame:
         return df.checkpoint(eager=True)
 
 
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """df.mapInArrow(run, schema) for columns of any name, dots included."""
+    given, made = df.columns, [f.name for f in schema]
+    plain = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(schema)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in run(x.rename_columns(given) for x in batches):
+            yield b.rename_columns([f"c{i}" for i in range(len(made))])
+
+    return df.toDF(*[f"c{i}" for i in range(len(given))]).mapInArrow(renamed, plain).toDF(*made)
+
+
 def col(name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")

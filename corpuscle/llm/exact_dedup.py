@@ -22,7 +22,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import col, fresh, row_hash, shared_dir, sized, written
+from corpuscle.llm.common import col, fresh, map_arrow, row_hash, shared_dir, sized, written
 from corpuscle.llm.hashing import slices
 
 #: Bytes of distinct text that a table may hold.
@@ -166,7 +166,7 @@ def _firsts(rows: DataFrame, id_col: str, text_col: str, key: str, tie: str, mem
     folder = shared_dir(rows.sparkSession)
     text, id_, hash_ = (rows.columns.index(c) for c in (text_col, id_col, key))
     rows = rows.repartition(key, *by).sortWithinPartitions(col(id_col).asc_nulls_last(), tie)
-    return rows.mapInArrow(lambda it: grace(it, text, id_, hash_, False, folder, memory), rows.schema)
+    return map_arrow(rows, lambda it: grace(it, text, id_, hash_, False, folder, memory), rows.schema)
 
 
 def _pairs(rows: DataFrame, key: str, tie: str, memory: int, part: str | None = None, sent: str | None = None) -> DataFrame:

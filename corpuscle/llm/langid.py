@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import col, written
+from corpuscle.llm.common import col, map_arrow, written
 from corpuscle.llm.hashing import slices
 
 ORDERS = (2, 3)
@@ -258,4 +258,4 @@ def accepted(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
             for batch in slices(whole, place):
                 yield batch.filter(pa.array(predict(batch.column(place), shared.value, noise_share)[2]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_arrow(docs, run, docs.schema)

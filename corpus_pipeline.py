@@ -6,13 +6,12 @@ group, mixing brings the sources to their target weights, and BPE turns the text
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from corpuscle.llm import bpe, exact_dedup, langid, mixing, simhash
-from corpuscle.llm.common import shared_dir
+from corpuscle.llm.common import col, new_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -34,7 +33,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Brings the sources to the roots of their sizes as weights, within the tokens there are; small sources repeat."""
-    return mixing.mixed(docs).select(*docs.columns)
+    return mixing.mixed(docs).select(*[col(c) for c in docs.columns])
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +48,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table; what lies between them is kept in the shared folder."""
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    """All stages over the documents table; what lies between them is kept in the shared folder until clean()."""
+    folder = new_dir(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

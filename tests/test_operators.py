@@ -96,7 +96,7 @@ def test_files_without_metadata(spark):
 
 def test_phrases(spark):
     known = spark.createDataFrame([("Règlement Général",)], "surface string")
-    page = "Selon le Comité Permanent, le Règlement Général, le Comité  Permanent siège. Comité permanent. La République."
+    page = "selon le Comité Permanent, le Règlement Général, le Comité  Permanent siège. Comité permanent. La République."
     df = spark.createDataFrame([(f"d{i}", 1, page) for i in range(3)], "document_id string, page_number int, text string")
     got = {r["key"]: r for r in evaluation.mine_phrases(df, known, least=2).collect()}
     assert set(got) >= {"comite permanent"} and "reglement general" not in got and "republique" not in got

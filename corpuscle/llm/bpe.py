@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpuscle.llm.common import col, fresh, map_arrow
+from corpuscle.llm.common import col, fresh, map_arrow, spread
 from corpuscle.llm.hashing import slices
 
 #: The vocabulary's place is a parameter; the file is read on the driver and broadcast.
@@ -323,7 +323,7 @@ def _encoded(batch: pa.RecordBatch, place: int, bpe: Bpe) -> tuple[pa.Array, pa.
 def encode(docs: DataFrame, text_col: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
     """docs with three more columns: token_ids, n_tokens and round_trip (whether decoding gave the text back).
 
-    One map over the rows, no exchange.  A null text has nulls there, an empty one no tokens; repeated rows and ties are
+    One map over the rows, without an exchange unless a scan has fewer partitions than there are cores.  A null text has nulls there, an empty one no tokens; repeated rows and ties are
     encoded each on its own; texts of any length are streamed.  A column of docs with one of the three names keeps it,
     and the new one gets an underscore.  An empty table gives no rows.
     """
@@ -340,7 +340,7 @@ def encode(docs: DataFrame, text_col: str = "text", tokenizer: str = TOKENIZER)
             for batch in slices(whole, place, 1 << 21):
                 yield pa.RecordBatch.from_arrays([*batch.columns, *_encoded(batch, place, bpe)], names=[*batch.schema.names, *names])
 
-    return map_arrow(docs, run, schema)
+    return map_arrow(spread(docs), run, schema)
 
 
 def decode(rows: DataFrame, ids_col: str = "token_ids", out: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:

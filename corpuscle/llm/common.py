@@ -110,6 +110,17 @@ def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than the session has cores, as few large row groups give, in several per core; else itself.
+
+    For work that costs far more than moving its rows.  What holds an exchange stays as it is, as Spark sizes its partitions.
+    """
+    cores, plan = df.sparkSession.sparkContext.defaultParallelism, df._jdf.queryExecution()
+    if "AdaptiveSparkPlan" in plan.executedPlan().toString() or plan.toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(3 * cores)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Names like the given ones that no column of df has, in whatever case."""
     taken = {c.lower() for c in df.columns}

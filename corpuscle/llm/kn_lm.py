@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import col, posix_dir, released, remove
+from corpuscle.llm.common import col, posix_dir, released, remove, spread
 from corpuscle.llm.hashing import mix, slices, words
 
 ORDER = 3
@@ -475,7 +475,7 @@ def fit(docs: DataFrame, text_col: str = "text", order: int = ORDER, buckets: in
         raise ValueError("order must be 2 or more, buckets a power of two")
     spark: SparkSession = docs.sparkSession
     path = posix_dir(spark, "ngrams")
-    texts = docs.select(col(text_col).alias("text")).where("text is not null")
+    texts = spread(docs.select(col(text_col).alias("text")).where("text is not null"))
     model = Model(path, order, buckets, *_vocabulary(texts, path, min(buckets, WORD_BUCKETS)))
     schema = "bucket int, payload binary, stats array<long>"
     rows = texts.mapInArrow(_count(spark.sparkContext.broadcast(model), buckets), schema)
@@ -537,5 +537,5 @@ def score(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", t
                     names=["doc_id", "n_tokens", "log10_prob", "perplexity"],
                 )
 
-    narrow = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
+    narrow = spread(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")))
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, n_tokens long, log10_prob double, perplexity double")

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import col, map_arrow, written
+from corpuscle.llm.common import col, map_arrow, spread, written
 from corpuscle.llm.hashing import slices
 
 ORDERS = (2, 3)
@@ -243,7 +243,7 @@ def identify(
                     names=["doc_id", "predicted", "mean_log_prob", "accepted"],
                 )
 
-    narrow = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
+    narrow = spread(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")))
     return narrow.mapInArrow(run, f"doc_id {narrow.schema['doc_id'].dataType.simpleString()}, predicted string, mean_log_prob double, accepted boolean")
 
 
@@ -258,4 +258,4 @@ def accepted(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
             for batch in slices(whole, place):
                 yield batch.filter(pa.array(predict(batch.column(place), shared.value, noise_share)[2]))
 
-    return map_arrow(docs, run, docs.schema)
+    return map_arrow(spread(docs), run, docs.schema)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions import quality
+from corpuscle.operators.common import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,7 +23,7 @@ def year_of(id_: Column) -> Column:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as one-page documents with their quality."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     m = quality.metrics(F.col("text"))
     d = d.withColumn("metrics", m).withColumn("quality_score", F.round(quality.score(F.col("metrics"), F.lit(0.99)), 6))
     return d.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import text
 from corpuscle.operators import evaluation, serving
+from corpuscle.operators.common import spread
 from corpuscle.plans.base import joined, pages, table, turns
 
 WORDS = "the and treaty of the"
@@ -59,12 +60,12 @@ def page_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def inverted_index(spark: SparkSession, d: str) -> DataFrame:
-    i = serving.index(table(spark, d, "documents"), F.col("text"), "doc_id")
+    i = serving.index(spread(table(spark, d, "documents")), F.col("text"), "doc_id")
     return i.groupBy("token").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
 
 
 def keyword_search(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "text", F.array("lang").alias("languages"))
+    docs = spread(table(spark, d, "documents")).select("doc_id", "text", F.array("lang").alias("languages"))
     i = serving.index(docs, F.col("text"), "doc_id")
     return serving.search(docs.drop("text"), i, WORDS, 20, "language:en", "doc_id").select("doc_id", F.round("score", 6).alias("score"))
 

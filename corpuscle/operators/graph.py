@@ -341,6 +341,6 @@ def is_read_only(query: str) -> bool:
 def layout(nodes_: DataFrame, limit: int = 10_000) -> DataFrame:
     """Coordinates on the unit disc from hashes of the ids, for the first nodes in id order: the same in every run."""
     first = nodes_.orderBy("node_id").limit(limit)
-    part = lambda salt: F.pmod(F.xxhash64("node_id", F.lit(salt)), F.lit(1 << 20)) / float(1 << 20)
+    part = lambda salt: F.conv(F.substring(F.md5(F.concat(F.lit(salt + "|"), "node_id")), 1, 8), 16, 10).cast("long") / float(1 << 32)
     r, a = F.sqrt(part("r")), part("a") * 2 * 3.141592653589793
     return first.select("*", F.round(r * F.cos(a), 6).alias("x"), F.round(r * F.sin(a), 6).alias("y"))

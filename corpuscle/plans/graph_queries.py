@@ -89,6 +89,9 @@ SQL = {
             length(case label when 'the' then regexp_extract(t, '(?s)^(.*?{_N})(?:the|le|der){_N}', 1) when 'and' then regexp_extract(t, '(?s)^(.*?{_N})(?:and|et){_N}', 1) else regexp_extract(t, '(?s)^(.*?{_N})nation{_N}', 1) end) - 1 as first from k, e
           union all select doc_id, 'of the', 'Party', ((length(t) - length(replace(t, chr(1), ''))) / 6)::int, instr(t, chr(1)) - 2 from x)
         select doc_id, label, type, n::bigint as n, first::int as first from n where n > 0""",
+    "graph_layout": """with n as (select 'p' || p_partkey as node_id from part order by 1 limit 10000),
+        h as (select node_id, sqrt(('0x' || substr(md5('r|' || node_id), 1, 8))::bigint / 4294967296) as r, ('0x' || substr(md5('a|' || node_id), 1, 8))::bigint / 4294967296 * 2 * 3.141592653589793::double as a from n)
+        select node_id, round(r * cos(a), 6) as x, round(r * sin(a), 6) as y from h""",
     "graph_nodes": f"with {_GRAPH} select node_id, type, label, aliases, confidence, provisional from gn",
     "graph_edges": f"with {_GRAPH} select src, dst, type, level, quality_weight, provisional, method from ge",
     "graph_summary": f"""with {_GRAPH}, b as (select 'node' as kind, type, provisional from gn union all select 'edge', type, provisional from ge)

@@ -94,8 +94,10 @@ def lexical_normal_form(spark: SparkSession, d: str) -> DataFrame:
 
 
 def reading_agreement(spark: SparkSession, d: str) -> DataFrame:
+    """Readings that differ in case and full stops, and in ten digits at the end of one."""
     t = table(spark, d, "benchmark")
-    return t.select("item_id", F.round(text.agreement(F.col("text"), F.upper(F.replace("text", F.lit("."), F.lit("")))), 6).alias("agreement"))
+    other = F.concat(F.upper(F.replace("text", F.lit("."), F.lit(""))), F.lit(" 0000000000"))
+    return t.select("item_id", F.round(text.agreement(F.col("text"), other), 6).alias("agreement"))
 
 
 def char_ngrams(spark: SparkSession, d: str) -> DataFrame:
@@ -299,6 +301,8 @@ SQL = {
         sha256(p_brand || ':' || p_size || ':1:9:Place:' || p_name) as mention_id, sha256(p_brand || chr(0) || sha) as scope from s""",
     "lexical_normal_form": f"select doc_id, {_LEX} as lexical from documents",
     "unicode_slugs": "select doc_id, coalesce(nullif(trim(regexp_replace(lower(strip_accents(replace(text, 'ß', 'ss'))), '[^a-z0-9]+', '_', 'g'), '_'), ''), 'unknown') as slug, url_encode(text) as uri from documents",
+    "reading_agreement": r"""with n as (select item_id, length(regexp_replace(replace(lower(text), 'ß', 'ss'), '[^\p{L}\p{N}]', '', 'g')) as n from benchmark)
+        select item_id, case when n >= 20 then round(2 * n / (2 * n + 10), 6) end as agreement from n""",
     "char_ngrams": f"with {_GRAMS} select doc_id, len(g) as n, list_min(g) as first, list_max(g) as last from gg",
     "minhash_signatures": f"with {_SIG} select doc_id, md5(array_to_string(sig, ',')) as signature from sg",
     "lexical_pairs": f"with {_LEXICAL} select src, dst, jaccard from lp",

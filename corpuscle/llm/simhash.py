@@ -1,20 +1,24 @@
-"""Near-duplicate detection by SimHash with a segment-popcount embedding.
+"""Near-duplicate detection by SimHash: every pair of fingerprints within MAX_BITS bits is joined.
 
-A text's fingerprint has TABLES tables of 2 x SEGMENTS bits, each bit a majority over the text's distinct words.  Every
-table is cut into segments of two bits, whose bit counts embed it into a grid; the Manhattan distance there never exceeds
-the Hamming distance of the tables.  Two texts are compared when in some table their grid points lie within RADIUS 1, and
+A text's fingerprint has TABLES tables of 2 x SEGMENTS bits, each bit a majority over the text's distinct words.  Two texts
 are near when their whole fingerprints differ in at most MAX_BITS bits, which is counted exactly.
 
-The range join ships two copies of a fingerprint per table, one under each half of the grid point: points at distance 1
-agree in a half, so every pair meets, and inside a partition the neighbouring cells are found by binary search.  Near pairs
-are joined into groups by alternating stars, after each partition has already reduced its own to a forest.
+The join is a range join in each table.  61 differing bits are needed to exceed reach() in all 16 tables, so near texts differ
+in at most 3 (or 2) bits of the 24 of some table.  A task holds the fingerprints by a table's bits and looks up all differences
+of so few bits; what it meets has to keep the bound over two tables, too, before all bits are counted.  So nothing is left out.
+
+Beyond ROWS_AT_ONCE fingerprints a table is cut into one more part than bits may differ in it: near texts agree in one of
+the parts, and a task holds what agrees there.  Its near pairs are reduced to a forest; groups are joined by alternating stars.
 
 Equal fingerprints are merged first, with partial minima in every task, so groups of exact copies cost one comparison.
 """
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +30,15 @@ from corpuscle.llm.common import BROADCAST_ROWS, col, fresh, sized, spread, writ
 from corpuscle.llm.hashing import combine, slices, words
 
 TABLES, SEGMENTS = 16, 12
-HALF = SEGMENTS // 2
-BITS = TABLES * SEGMENTS * 2
+WIDTH = SEGMENTS * 2
+BITS = TABLES * WIDTH
 #: Bits of BITS that near texts may differ in.
 MAX_BITS = 60
-_PAIRS_AT_ONCE = 1 << 21
+#: Fingerprints that one task may compare; more are parted by bits that near ones share.
+ROWS_AT_ONCE = 1 << 18
+_PAIRS_AT_ONCE = 1 << 20
+#: Bits of a table that the first look at a difference passes over.
+_LOW = 3
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.uint8).view(np.uint64).ravel()
 _WORDS = BITS // 64
 
@@ -63,32 +71,119 @@ def fingerprints(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def grid(fp: np.ndarray) -> np.ndarray:
-    """Bit counts of all segments: uint8 [n, TABLES, SEGMENTS], each 0, 1 or 2."""
+    """Bit counts of all segments of two bits: uint8 [n, TABLES, SEGMENTS], each 0, 1 or 2.
+
+    The Manhattan distance of a table's counts never exceeds its Hamming distance: the search in bits meets all that one here would.
+    """
     bits = np.unpackbits(fp, axis=1).reshape(len(fp), TABLES, SEGMENTS, 2)
     return bits.sum(axis=3, dtype=np.uint8)
 
 
-def _codes(fp: np.ndarray) -> np.ndarray:
-    """Grid points as two numbers to base 3: int32 [n, TABLES, 2]."""
-    power = 3 ** np.arange(HALF, dtype=np.int32)
-    return (grid(fp).reshape(len(fp), TABLES, 2, HALF) * power).sum(axis=3, dtype=np.int32)
+def reach(max_bits: int) -> list[int]:
+    """Per table a number of bits t: fingerprints within max_bits differ in at most t bits of some table; t + 1 add up to max_bits + 1."""
+    least, rest = divmod(max_bits + 1, TABLES)
+    return [least + (i < rest) - 1 for i in range(TABLES)]
+
+
+def _parts(t: int, bits: int) -> tuple[int, int]:
+    """Into how many parts of how many bits a table is cut: of t + 1 disjoint parts t differing bits leave one equal."""
+    bits = min(bits, WIDTH // (t + 1))
+    return (t + 1, bits) if bits else (1, 0)
+
+
+def _raw(prints: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Fingerprints as uint8 [n, BITS / 8]."""
+    parts = prints.chunks if isinstance(prints, pa.ChunkedArray) else [prints]
+    size, out = BITS // 8, []
+    for x in parts:
+        if len(x):
+            _, offsets, data = x.buffers()
+            at = np.frombuffer(offsets, np.int32)[x.offset]
+            out.append(np.frombuffer(data, np.uint8)[at : at + len(x) * size].reshape(-1, size))
+    return np.concatenate(out)
+
 
+def _codes(fp: np.ndarray, table: int, tables: int = 1) -> np.ndarray:
+    """The bits of so many tables, in a ring from the given one on, as numbers: int64 [n]."""
+    out = np.zeros(len(fp), np.int64)
+    for k in range(3 * table, 3 * (table + tables)):
+        out = (out << 8) | fp[:, k % (BITS // 8)]
+    return out
 
-def _copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per fingerprint, table and half a row (half's cell, the other half's cell, id, fingerprint)."""
-    for batch in batches:
-        for i in range(0, batch.num_rows, 1 << 13):
-            part = batch.slice(i, 1 << 13)
-            fp = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(-1, BITS // 8)
-            code = _codes(fp)
-            kind = np.arange(2 * TABLES, dtype=np.int32).reshape(TABLES, 2)
-            n = len(fp)
-            cell = ((kind << 10) + code).reshape(n, -1).ravel()
-            other = code[:, :, ::-1].reshape(n, -1).ravel()
-            row = np.repeat(np.arange(n), 2 * TABLES)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cell), pa.array(other), part.column(0).take(pa.array(row)), part.column(1).take(pa.array(row))], names=["cell", "other", "doc_id", "fp"]
-            )
+
+def _copies(max_bits: int, bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per fingerprint, table and part of it a row (cell: which table, which part and the part's bits; id, fingerprint)."""
+        for batch in batches:
+            for i in range(0, batch.num_rows, 1 << 13):
+                part = batch.slice(i, 1 << 13)
+                fp = _raw(part.column(1))
+                for k, t in enumerate(reach(max_bits)):
+                    if t < 0:
+                        continue
+                    code, (parts, width) = _codes(fp, k), _parts(t, bits)
+                    for c in range(parts):
+                        cell = ((k << 5 | c) << WIDTH) + (code >> c * width & (1 << width) - 1)
+                        yield pa.RecordBatch.from_arrays([pa.array(cell), part.column(0), part.column(1)], names=["cell", "doc_id", "fp"])
+
+    return run
+
+
+@cache
+def _masks(t: int, part: int, width: int) -> list[list[np.ndarray]]:
+    """The differences of 1 to t bits of a table whose first equal part, of parts of `width` bits, is the given one.
+
+    Per highest bit, in groups that agree in all but the last _LOW bits.
+    """
+    found = np.array([sum(1 << x for x in bits) for k in range(1, t + 1) for bits in itertools.combinations(range(WIDTH), k)], np.int64)
+    cut = lambda c: found >> c * width & (1 << width) - 1
+    found = np.sort(found[(cut(part) == 0) & np.all([cut(c) > 0 for c in range(part)], axis=0)])
+    groups = np.split(found, np.flatnonzero(np.diff(found >> _LOW)) + 1)
+    return [[x for g in groups if len(x := g[g >> top == 1])] for top in range(WIDTH)]
+
+
+def _probes(code: np.ndarray, t: int, part: int, width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Arrays (left, low, high): row left meets the rows from low to below high.  Rows are sorted by code; each pair of rows whose
+    codes differ in at most t bits, the given part being the first equal one, meets once."""
+    n = len(code)
+    ids = np.arange(n)
+    if sum(math.comb(WIDTH, k) for k in range(t + 1)) > n // 2:  # few rows for so many differences: all meet
+        yield ids, ids + 1, np.full(n, n)
+        return
+    cell, start, count = np.unique(code, return_index=True, return_counts=True)
+    if not part:
+        yield ids, ids + 1, np.repeat(start + count, count)
+    near, there, where = np.zeros(1 << WIDTH - _LOW, bool), np.zeros(1 << WIDTH, bool), np.zeros(1 << WIDTH, np.int32)
+    near[cell >> _LOW], there[cell], where[cell] = True, True, np.arange(len(cell))
+    held, size = [], 0
+
+    def rows() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+        k = count[a]
+        if len(a) == k.sum():
+            return start[a], start[b], start[b] + count[b]
+        left = np.repeat(start[a] - (np.cumsum(k) - k), k) + np.arange(k.sum())
+        return left, np.repeat(start[b], k), np.repeat(start[b] + count[b], k)
+
+    for top, masks in enumerate(_masks(t, part, width)):
+        lower = np.flatnonzero(cell >> top & 1 == 0)  # of two cells the one without the highest differing bit looks for the other
+        for begin in range(0, len(lower), 1 << 15):
+            own = lower[begin : begin + (1 << 15)]
+            at, high = cell[own], cell[own] >> _LOW
+            for group in masks:  # most have no other cell even among those that agree in all but the last bits
+                some = np.flatnonzero(near[high ^ group[0] >> _LOW])
+                for mask in group if len(some) else ():
+                    other = at[some] ^ mask
+                    hit = np.flatnonzero(there[other])
+                    if not len(hit):
+                        continue
+                    held.append((own[some[hit]], where[other[hit]]))
+                    size += int(count[held[-1][0]].sum())
+                    if size > _PAIRS_AT_ONCE:
+                        yield rows()
+                        held, size = [], 0
+    if held:
+        yield rows()
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = None) -> np.ndarray:
@@ -105,54 +200,65 @@ def _roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray | None = None)
             root = up
 
 
-def _near(key: np.ndarray, fp: np.ndarray, node: np.ndarray, n: int, max_bits: int) -> np.ndarray:
-    """Components of n nodes joined by near pairs among rows sorted by (cell, other half's cell)."""
-    columns = [np.ascontiguousarray(fp[:, k]) for k in range(fp.shape[1])]
-    ids = np.arange(len(key))
-    root = np.arange(n)
-    probes = []
-    same = (key >> np.int64(20)) % 2 == 0  # points that agree in both halves meet under the first
-    probes.append((ids[same], ids[same] + 1, np.searchsorted(key, key[same], "right")))
-    digit = key & np.int64(1023)
-    for s in range(HALF):
-        up = digit // 3**s % 3 < 2
-        to = key[up] + 3**s
-        low = np.searchsorted(key, to, "left")
-        probes.append((ids[up], low, np.searchsorted(key, to, "right")))
-    for left, low, high in probes:
-        size = high - low
-        left, low, size = left[size > 0], low[size > 0], size[size > 0]
-        end = np.cumsum(size)
-        total = int(end[-1]) if len(end) else 0
-        for begin in range(0, total, _PAIRS_AT_ONCE):
-            stop = min(total, begin + _PAIRS_AT_ONCE)
-            i, j = np.searchsorted(end, begin, "right"), np.searchsorted(end, stop - 1, "right") + 1
-            f, t = np.maximum(end[i:j] - size[i:j], begin), np.minimum(end[i:j], stop)
-            x = np.repeat(left[i:j], t - f)
-            y = np.arange(begin, stop) + np.repeat(low[i:j] - (end[i:j] - size[i:j]), t - f)
+def _met(left: np.ndarray, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows of _probes, so many at once."""
+    size = high - low
+    one = size == 1
+    yield left[one], low[one]
+    one = size > 1
+    left, low, size = left[one], low[one], size[one]
+    end = np.cumsum(size)
+    total = int(end[-1]) if len(end) else 0
+    for begin in range(0, total, _PAIRS_AT_ONCE):
+        stop = min(total, begin + _PAIRS_AT_ONCE)
+        i, j = np.searchsorted(end, begin, "right"), np.searchsorted(end, stop - 1, "right") + 1
+        f, t = np.maximum(end[i:j] - size[i:j], begin), np.minimum(end[i:j], stop)
+        yield np.repeat(left[i:j], t - f), np.arange(begin, stop) + np.repeat(low[i:j] - (end[i:j] - size[i:j]), t - f)
+
+
+def _near(fp: np.ndarray, node: np.ndarray, root: np.ndarray, max_bits: int, table: int, part: int, width: int) -> np.ndarray:
+    """Joins the components `root` of the nodes of near rows, which share a cell: of the pairs that this table and part account for."""
+    t = reach(max_bits)
+    code = _codes(fp, table)
+    order = np.argsort(code, kind="stable")
+    code, fp, node = code[order], fp[order], node[order]
+    # going round the tables from some start, the bits that differ stay below the sum of t + 1 after each: that start's pair is enough
+    wide, most = _codes(fp, table, 2).view(np.uint64), t[table] + t[(table + 1) % TABLES] + 1
+    columns = [np.ascontiguousarray(x) for x in fp.view(np.uint64).T]
+    for left, low, high in _probes(code, t[table], part, width):
+        for x, y in _met(left, low, high):
+            ok = np.flatnonzero(np.bitwise_count(wide[x] ^ wide[y]) <= most)
+            x, y = x[ok], y[ok]
+            ok = root[node[x]] != root[node[y]]
+            x, y = x[ok], y[ok]
             apart = np.zeros(len(x), np.uint16)
             for c in columns:  # exact from the first word on: what differs too much already is left out
                 apart += np.bitwise_count(c[x] ^ c[y])
                 ok = apart <= max_bits
                 x, y, apart = x[ok], y[ok], apart[ok]
             if len(x):
-                root = _roots(n, node[x], node[y], root)
+                root = _roots(len(root), node[x], node[y], root)
     return root
 
 
-def _join(max_bits: int):
+def _join(max_bits: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [b for b in batches if b.num_rows]
         if not parts:
             return
         table = pa.Table.from_batches(parts)
-        key = (table.column("cell").to_numpy().astype(np.int64) << 10) + table.column("other").to_numpy()
-        order = np.argsort(key, kind="stable")
+        cell = table.column("cell").to_numpy()
+        order = np.argsort(cell, kind="stable")
         id_ = table.column("doc_id").combine_chunks()
-        fp = np.frombuffer(b"".join(x for c in table.column("fp").chunks for x in c.to_pylist()), np.uint64).reshape(-1, _WORDS)[order]
+        fp = _raw(table.column("fp"))
         distinct = id_.unique().sort()
-        node = np.asarray(pc.index_in(id_, distinct), dtype=np.int64)[order]
-        root = _near(key[order], fp, node, len(distinct), max_bits)
+        node = np.asarray(pc.index_in(id_, distinct), dtype=np.int64)
+        root = np.arange(len(distinct))
+        bounds = np.flatnonzero(np.diff(cell[order], prepend=-1, append=-1))
+        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+            kind = int(cell[order[a]]) >> WIDTH
+            rows, t = order[a:b], reach(max_bits)[kind >> 5]
+            root = _near(fp[rows], node[rows], root, max_bits, kind >> 5, kind & 31, _parts(t, bits)[1])
         child = np.flatnonzero(root != np.arange(len(distinct)))
         yield pa.RecordBatch.from_arrays([distinct.take(pa.array(child)), distinct.take(pa.array(root[child]))], names=["u", "v"])
 
@@ -184,7 +290,7 @@ def components(edges: DataFrame) -> DataFrame:
     return e
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, rows_at_once: int = ROWS_AT_ONCE) -> DataFrame:
     """A row (doc_id, duplicate_of) for every document that is near, directly or over others, to one with a smaller id.
 
     duplicate_of is the smallest id of the group, which has no row itself.  Rows with a null id or a null, empty or wordless
@@ -205,7 +311,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = written(prints.groupBy("fp").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")))
     one = first.select(F.col("v").alias("doc_id"), "fp")
     copies = prints.join(first.where("n > 1").select("fp", "v"), "fp").where("doc_id <> v")
-    met = one.mapInArrow(_copies, f"cell int, other int, doc_id {kind}, fp binary").repartition("cell").mapInArrow(_join(max_bits), f"u {kind}, v {kind}")
+    bits = max(0, (first.count() - 1) // rows_at_once).bit_length()
+    met = one.mapInArrow(_copies(max_bits, bits), f"cell bigint, doc_id {kind}, fp binary").repartition("cell").mapInArrow(_join(max_bits, bits), f"u {kind}, v {kind}")
     edges = met.union(copies.select(F.col("doc_id").alias("u"), "v"))
     return components(edges).select(F.col("u").alias("doc_id"), F.col("v").alias("duplicate_of"))
 

@@ -59,6 +59,52 @@ def test_simhash_finds_what_brute_force_finds(spark):
     assert not any(i < 150 for i in got), "different texts are left alone"
 
 
+def test_simhash_leaves_out_no_near_pair(spark):
+    base, vocabulary, rnd = texts(400, seed=7)
+    rows = base + [edited(t, rnd, vocabulary, 0.08) for t in base]
+    f = simhash.fingerprints(pa.array(rows))[0].view(np.uint64)
+    near = [(i, j) for i in range(len(rows)) for j in (i + 1 + np.flatnonzero(np.bitwise_count(f[i] ^ f[i + 1 :]).sum(axis=1) <= simhash.MAX_BITS)).tolist()]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    for most in (simhash.ROWS_AT_ONCE, 100):
+        got = {r["doc_id"]: r["duplicate_of"] for r in simhash.near_duplicates(df, rows_at_once=most).collect()}
+        assert got == groups(len(rows), near) and len(got) > 350
+
+
+@pytest.mark.parametrize("bits", [0, 1])
+def test_simhash_meets_pairs_that_barely_reach(bits):
+    """Pairs at MAX_BITS that exceed what is looked for in every table but one, among so many rows that differences are looked up."""
+    rnd, reach = np.random.default_rng(5), simhash.reach(simhash.MAX_BITS)
+    assert sum(t + 1 for t in reach) == simhash.MAX_BITS + 1
+    fp = rnd.integers(0, 2, ((6000, 10_000)[bits], simhash.TABLES, simhash.WIDTH), dtype=np.uint8)
+    other = []
+    for i in range(simhash.TABLES):
+        for extra in (0, 1):  # MAX_BITS bits and one more
+            one = fp[len(other)].copy()
+            for k in range(simhash.TABLES):
+                one[k, rnd.permutation(simhash.WIDTH)[: reach[k] + 1 - (k == i) + extra * (k == i)]] ^= 1
+            other.append(one)
+    raw = np.packbits(np.concatenate([fp, other]).reshape(-1, simhash.BITS), axis=1)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(raw))), pa.array([x.tobytes() for x in raw], pa.binary())], names=["doc_id", "fp"])
+    out = list(simhash._join(simhash.MAX_BITS, bits)(simhash._copies(simhash.MAX_BITS, bits)([batch])))
+    assert sorted((v, u) for b in out for u, v in zip(*(c.to_pylist() for c in b.columns), strict=True)) == [(2 * i, len(fp) + 2 * i) for i in range(simhash.TABLES)]
+
+
+def test_simhash_probes_meet_each_pair_once():
+    rnd = np.random.default_rng(2)
+    code = np.sort(rnd.integers(0, 1 << 18, 6000) << 6)  # all agree in the first of four parts of six bits
+    code[:50] = code[0]
+    far = np.bitwise_count(code[:, None] ^ code)
+    for part, width in ((0, 0), (0, 6), (1, 6), (3, 6)):
+        cut = [code >> 6 * c & 63 for c in range(4)]
+        want = np.triu(far <= 3, 1)
+        if width:
+            want &= cut[part][:, None] == cut[part]
+            for c in range(part):
+                want &= cut[c][:, None] != cut[c]
+        got = [(min(x, y), max(x, y)) for met in simhash._probes(code, 3, part, width) for a, b in simhash._met(*met) for x, y in zip(a.tolist(), b.tolist(), strict=True)]
+        assert len(got) == len(set(got)) and set(got) == set(zip(*(x.tolist() for x in np.nonzero(want)), strict=True))
+
+
 def test_manhattan_distance_bounds_hamming():
     rnd = np.random.default_rng(1)
     fp = rnd.integers(0, 256, (60, simhash.BITS // 8), dtype=np.uint8)

@@ -1,6 +1,7 @@
 """Each stage against a brute-force version on its own input, the whole against their sequence, and odd tables."""
 
 import itertools
+import random
 from collections import Counter
 
 import numpy as np
@@ -62,6 +63,21 @@ def test_near(stages):
     assert 0.5 * len(before) < len(after) < len(before)
 
 
+def test_near_leaves_out_no_pair_within_the_bits(spark):
+    """Pairs near the threshold, in no table of which the counts of bits agree up to one."""
+    rnd = random.Random(7)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 7))) for _ in range(3000)]
+    first = [[rnd.choice(words) for _ in range(120)] for _ in range(600)]
+    second = [[rnd.choice(words) if rnd.random() < 0.09 else w for w in t] for t in first]
+    fp = [simhash.fingerprints(pa.array([" ".join(t) for t in x]))[0] for x in (first, second)]
+    near = np.bitwise_count(fp[0] ^ fp[1]).sum(axis=1) <= simhash.MAX_BITS
+    apart = np.abs(simhash.grid(fp[0]).astype(int) - simhash.grid(fp[1])).sum(axis=2).min(axis=1) > 1
+    hard = np.flatnonzero(near & apart).tolist()
+    rows = [(i + 1000 * k, " ".join(x[i]), "en", "a", 1) for i in hard for k, x in enumerate((first, second))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert len(hard) > 5 and sorted(r["doc_id"] for r in corpus_pipeline.near(spark, df, SF).collect()) == hard
+
+
 def test_mixing(spark, stages):
     _, before, after = stages[3]
     keys = {r["doc_id"]: r["k"] for r in spark.createDataFrame(before).select("doc_id", mixing.random_key(mixing.F.col("doc_id"), 0).alias("k")).collect()}

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import BROADCAST_ROWS, col, fresh, sized, spread, written
+from corpuscle.llm.common import BROADCAST_ROWS, col, fresh, row_hash, sized, spread, written
 from corpuscle.llm.hashing import combine, slices, words
 
 TABLES, SEGMENTS = 16, 12
@@ -290,33 +290,62 @@ def components(edges: DataFrame) -> DataFrame:
     return e
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, rows_at_once: int = ROWS_AT_ONCE) -> DataFrame:
-    """A row (doc_id, duplicate_of) for every document that is near, directly or over others, to one with a smaller id.
-
-    duplicate_of is the smallest id of the group, which has no row itself.  Rows with a null id or a null, empty or wordless
-    text are near nothing.  Rows that share an id are one document: what either text is near to is near to it.  Other
-    columns are not read; an empty table gives no rows.
-    """
-    rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).where("doc_id is not null and text is not null")
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def _prints(rows: DataFrame) -> DataFrame:
+    """rows with the fingerprint fp in place of the text, without those whose text is null or has no word, written."""
+    kept = [c for c in rows.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
                 fp, ok = fingerprints(batch.column("text"))
                 raw = pa.array([x.tobytes() for x in fp], pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), raw], names=["doc_id", "fp"]).filter(pa.array(ok))
+                yield pa.RecordBatch.from_arrays([*map(batch.column, kept), raw], names=[*kept, "fp"]).filter(pa.array(ok))
+
+    schema = [f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept]
+    return written(spread(rows.where("text is not null")).mapInArrow(run, ", ".join([*schema, "fp binary"])))
+
+
+def _edges(one: DataFrame, n: int, max_bits: int, rows_at_once: int) -> DataFrame:
+    """(u, v) of ids whose edges join what is near, from n rows (doc_id, fp) of different fingerprints."""
+    kind, bits = one.schema["doc_id"].dataType.simpleString(), max(0, (n - 1) // rows_at_once).bit_length()
+    return one.mapInArrow(_copies(max_bits, bits), f"cell bigint, doc_id {kind}, fp binary").repartition("cell").mapInArrow(_join(max_bits, bits), f"u {kind}, v {kind}")
+
 
-    prints = written(spread(rows).mapInArrow(run, f"doc_id {kind}, fp binary"))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, rows_at_once: int = ROWS_AT_ONCE) -> DataFrame:
+    """A row (doc_id, duplicate_of) for every document that is near, directly or over others, to one with a smaller id.
+
+    duplicate_of is the smallest id of the group, which has no row itself.  Rows with a null id or a null, empty or wordless
+    text are near nothing.  Rows that share an id are one document: what either text is near to is near to it.  Other
+    columns are not read; an empty table gives no rows.
+    """
+    prints = _prints(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")).where("doc_id is not null"))
     first = written(prints.groupBy("fp").agg(F.min("doc_id").alias("v"), F.count("*").alias("n")))
     one = first.select(F.col("v").alias("doc_id"), "fp")
     copies = prints.join(first.where("n > 1").select("fp", "v"), "fp").where("doc_id <> v")
-    bits = max(0, (first.count() - 1) // rows_at_once).bit_length()
-    met = one.mapInArrow(_copies(max_bits, bits), f"cell bigint, doc_id {kind}, fp binary").repartition("cell").mapInArrow(_join(max_bits, bits), f"u {kind}, v {kind}")
-    edges = met.union(copies.select(F.col("doc_id").alias("u"), "v"))
+    edges = _edges(one, first.count(), max_bits, rows_at_once).union(copies.select(F.col("doc_id").alias("u"), "v"))
     return components(edges).select(F.col("u").alias("doc_id"), F.col("v").alias("duplicate_of"))
 
 
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, rows_at_once: int = ROWS_AT_ONCE, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """docs with one row of each group of rows whose texts are near, directly or over others, whatever their ids.
+
+    The rows of a group are ordered by id, nulls last, then by a hash of the row, and the first stays: rows without an id and
+    texts that share an id are compared like all others.  A row repeated as a whole stays or goes as one; rows without a word
+    all stay.  All columns stay as they were, whatever their names; removed rows are broadcast up to `broadcast_rows`.
+    """
+    at = F.struct(col(id_col).isNull().alias("last"), col(id_col).alias("id"), row_hash(docs).alias("tie"))
+    prints = _prints(docs.select(at.alias("at"), col(text_col).alias("text")))
+    # numbers in the order of the rows stand for them in the join, so that the least of a group is its first row
+    first = written(prints.groupBy("fp").agg(F.min("at").alias("at")).orderBy("at").select("at", "fp", F.monotonically_increasing_id().alias("v")))
+    edges = _edges(first.select(F.col("v").alias("doc_id"), "fp"), first.count(), max_bits, rows_at_once)
+    stays = first.join(components(edges).select(F.col("u").alias("v")), "v", "left_anti").select("at")
+    removed, tie = fresh(docs, "removed_id", "removed_tie")
+    gone = written(prints.join(stays, "at", "left_anti").select(F.col("at.id").alias(removed), F.col("at.tie").alias(tie)))
+    return docs.join(sized(gone, broadcast_rows), col(id_col).eqNullSafe(F.col(removed)) & (row_hash(docs) == F.col(tie)), "left_anti")
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """docs without the rows whose id near_duplicates names: of each group the document with the smallest id stays.
 

@@ -78,6 +78,29 @@ def test_near_leaves_out_no_pair_within_the_bits(spark):
     assert len(hard) > 5 and sorted(r["doc_id"] for r in corpus_pipeline.near(spark, df, SF).collect()) == hard
 
 
+def test_near_leaves_out_no_pair_without_an_id_of_its_own(spark):
+    """Rows without an id and different texts of one id against brute force over rows, in long and string ids."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 7))) for _ in range(3000)]
+    texts = [[rnd.choice(words) for _ in range(120)] for _ in range(60)]
+    texts += [[rnd.choice(words) if rnd.random() < 0.06 else w for w in t] for t in texts for _ in range(2)]
+    texts = [" ".join(t) for t in texts]
+    f = simhash.fingerprints(pa.array(texts))[0].view(np.uint64)
+    near = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if np.bitwise_count(f[i] ^ f[j]).sum() <= simhash.MAX_BITS]
+    group = list(range(len(texts)))
+    for i, j in near:
+        group = [group[i] if g == group[j] else g for g in group]
+    for kind in (int, str):
+        of = [*range(60), *(i // 2 for i in range(120))]  # two texts and their copies share an id, or have none or their own
+        ids = [rnd.choice([None, kind(100 + of[i] // 2), kind(1000 + i)]) for i in range(len(texts))]
+        assert any(ids[i] is ids[j] is None for i, j in near) and any(ids[i] == ids[j] is not None for i, j in near)
+        df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in zip(ids, texts, strict=True)], f"doc_id {'long' if kind is int else 'string'}, text string, lang string, source string, n_chars long")
+        kept = [texts.index(r["text"]) for r in corpus_pipeline.near(spark, df, SF).collect()]
+        assert sorted(group[i] for i in kept) == sorted(set(group)), "one row of each group"
+        least = {g: min((ids[i] is None, ids[i] or kind(0)) for i in range(len(texts)) if group[i] == g) for g in group}
+        assert all((ids[i] is None, ids[i] or kind(0)) == least[group[i]] for i in kept), "the one with the smallest id, nulls last"
+
+
 def test_mixing(spark, stages):
     _, before, after = stages[3]
     keys = {r["doc_id"]: r["k"] for r in spark.createDataFrame(before).select("doc_id", mixing.random_key(mixing.F.col("doc_id"), 0).alias("k")).collect()}

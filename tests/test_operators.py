@@ -133,3 +133,13 @@ def test_grams_hash_like_md5(spark):
     h = similarity.GramHashes(most=2)
     for grams in ({"abcde", "é"}, {"x"}, {"abcde"}):
         assert sorted(h.of(grams).tolist()) == sorted(int(md5(g.encode()).hexdigest()[:8], 16) % similarity.PRIME for g in grams)
+
+
+def test_benchmark_texts_are_compared_case_folded(spark):
+    rows = [(1, "Erßie  entech", ["ERSSIE", "erßie ENTECH"]), (2, "Maße", ["masse"]), (3, "e\u0301te", ["ÉTE"]), (4, "Maße", ["Mase"]), (5, "x", None)]
+    cases = spark.createDataFrame(rows, "n int, text string, contains array<string>").selectExpr(
+        "*", "array('Latin') as scripts", "'native' as method", "false as review", "cast(null as int) as min_chars", "cast(null as string) as script", "cast(null as string) as method_prefix", "cast(null as boolean) as review_required"
+    )
+    out = evaluation.benchmark_checks(cases)
+    assert set(out.columns) == {*cases.columns, "chars_ok", "contains_ok", "script_ok", "method_ok", "review_ok", "passed"}
+    assert {r["n"]: (r["contains_ok"], r["passed"]) for r in out.collect()} == {n: (n != 4, n != 4) for n in range(1, 6)}

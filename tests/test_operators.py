@@ -143,3 +143,59 @@ def test_benchmark_texts_are_compared_case_folded(spark):
     out = evaluation.benchmark_checks(cases)
     assert set(out.columns) == {*cases.columns, "chars_ok", "contains_ok", "script_ok", "method_ok", "review_ok", "passed"}
     assert {r["n"]: (r["contains_ok"], r["passed"]) for r in out.collect()} == {n: (n != 4, n != 4) for n in range(1, 6)}
+
+
+def test_signatures_against_each_gram(spark):
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from corpuscle.operators import minhash
+
+    r = random.Random(5)
+    words = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=r.randint(1, 9))) for _ in range(900)]
+    texts = [" ".join(r.choices(words, k=k)) for k in (0, 1, 2, 3, 40, 90, 200, 700, 3000, 30000) for _ in range(3)]
+    texts += ["", " ", "abc", "abcde", "ab cd e", "é" * 9, "naïve 日本 text", "a" * 5000, "ab" * 300000, None]
+    ab = similarity.coefficients(128)
+    want = {}
+    for i, t in enumerate(texts):
+        if x := (t or "").replace(" ", ""):
+            h = minhash.GramHashes().of({x[j : j + 5] for j in range(max(1, len(x) - 4))})
+            want[i] = [min((int(v) * a + b) % minhash.PRIME for v in h) for a, b in ab]
+    for most in (1 << 20, 1 << 13):  # with so few places grams are forgotten in between
+        mine = minhash.Signer(np.array(ab, np.uint64), 5, most)
+        for _ in range(2):
+            rows, least = mine.of(pa.array(texts))
+            assert {int(i): x.tolist() for i, x in zip(rows, least, strict=True)} == want
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, t string")
+    from pyspark.sql import functions as F
+
+    assert {x["id"]: x["sig"] for x in similarity.signatures(rows, "id", F.col("t")).collect()} == want
+
+
+def test_lexical_pairs_of_many_copies_against_all(spark):
+    import random
+
+    r = random.Random(3)
+    cfg = similarity.Config()
+    base = [[r.randrange(1 << 30) for _ in range(cfg.permutations)] for _ in range(4)]
+    rows = []
+    for i in range(1100):  # more near copies than a unit has room for
+        rows.append((i, [v if r.random() < 0.97 else r.randrange(1 << 30) for v in base[0]]))
+    rows += [(i, [v if r.random() < 0.6 else r.randrange(1 << 30) for v in base[i % 3 + 1]]) for i in range(1100, 1200)]
+    rows += [(i, rows[i % 7][1]) for i in range(1200, 1210)]
+    got = similarity.lexical_pairs(spark.createDataFrame(rows, "id long, sig array<long>"), cfg).collect()
+
+    import numpy as np
+
+    sig = np.array([s for _, s in rows])
+    want = 0
+    found = {(x["src"], x["dst"]): x["jaccard"] for x in got}
+    assert len(found) == len(got)
+    for i in range(len(sig)):
+        equal = sig[i + 1 :] == sig[i]
+        near = np.flatnonzero(equal[:, :125].reshape(-1, 25, 5).all(axis=2).any(axis=1))
+        want += len(near)
+        assert all(abs(found[i, i + 1 + int(j)] - equal[j].sum() / 128) < 1e-6 for j in near[:: 1 if i % 100 == 0 else 97])
+    assert len(found) == want

@@ -199,3 +199,34 @@ def test_lexical_pairs_of_many_copies_against_all(spark):
         want += len(near)
         assert all(abs(found[i, i + 1 + int(j)] - equal[j].sum() / 128) < 1e-6 for j in near[:: 1 if i % 100 == 0 else 97])
     assert len(found) == want
+
+
+def test_workers_get_small_batches(spark):
+    """However many rows a partition has, a worker's batch is bounded, and values become Python's a part at a time."""
+    from pyspark.sql import functions as F
+
+    from corpuscle.operators.common import BATCH, small_batches
+    from corpuscle.plans.base import table
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(name, str(1 << 30))
+    table(spark, "/root/testdata/sf0.001", "documents")
+    assert int(spark.conf.get(name).removesuffix("b")) == BATCH
+    spark.conf.set(name, "1000")
+    small_batches(spark)
+    assert spark.conf.get(name).removesuffix("b") == "1000"
+    spark.conf.unset(name)
+    table(spark, "/root/testdata/sf0.001", "documents")
+
+    rows = spark.range(1000, numPartitions=1).withColumn("t", F.when(F.col("id") % 7 > 0, F.concat(F.lit("Né "), F.col("id").cast("string"))))
+    got = {r["id"]: r["n"] for r in rows.select("id", text.normalise_lexical("t").alias("n")).collect()}
+    assert got == {i: f"ne {i}" if i % 7 else None for i in range(1000)}
+    big = spark.range(40, numPartitions=1).withColumn("t", F.repeat(F.lit("x"), 1 << 20))
+
+    def sizes(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    assert max(r["n"] for r in big.mapInArrow(sizes, "n long").collect()) < 3 * BATCH

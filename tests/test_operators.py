@@ -230,3 +230,31 @@ def test_workers_get_small_batches(spark):
             yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
 
     assert max(r["n"] for r in big.mapInArrow(sizes, "n long").collect()) < 3 * BATCH
+
+
+def test_shingle_pairs_against_all(spark, monkeypatch):
+    import random
+
+    from corpuscle.operators import shingles
+
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    texts = []
+    for k in range(40):
+        base = r.choices(words, k=r.choice((3, 4, 9, 30, 120)))
+        for _ in range(r.randint(1, 12)):
+            texts.append([w if r.random() < r.choice((0.9, 0.97, 1)) else r.choice(words) for w in base][: len(base) - r.randint(0, len(base) // 3)])
+    common = r.choices(words, k=20)
+    texts += [common + r.choices(words, k=r.randint(1, 10)) for _ in range(300)]  # a shared passage: near only to some
+    texts += [[], ["a"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c"], ["w1"] * 50, ["w1"] * 9]
+    rows = list(enumerate(" ".join(t) for t in texts)) + [(9999, None)]
+    sets = {i: {tuple(t[j : j + 3]) for j in range(len(t) - 2)} for i, t in enumerate(texts)}
+    want = {(i, j): round(len(s & t) / len(s | t), 6) for i, s in sets.items() for j, t in sets.items() if i < j and s & t}
+    want = {k: v for k, v in want.items() if v >= 0.6}
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    assert len(want) > 500
+    for part in (1 << 20, 900):  # one bucket, and many
+        monkeypatch.setattr(shingles, "PART", part)
+        got = shingles.similar_pairs(df, 0.6).collect()
+        assert len(got) == len(want) and {(x["src"], x["dst"]): x["jaccard"] for x in got} == want
+    assert shingles.similar_pairs(df.where("id < 0")).count() == 0

@@ -258,3 +258,36 @@ def test_shingle_pairs_against_all(spark, monkeypatch):
         got = shingles.similar_pairs(df, 0.6).collect()
         assert len(got) == len(want) and {(x["src"], x["dst"]): x["jaccard"] for x in got} == want
     assert shingles.similar_pairs(df.where("id < 0")).count() == 0
+
+
+def test_communities_compute_their_edges_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(9)], "src long, dst long, weight double").mapInArrow(count, "src long, dst long, weight double")
+    assert similarity.communities(edges, spark.range(10).withColumnRenamed("id", "node")).count() == 10
+    assert seen.value == 9
+
+
+def test_chosen_readings_with_texts_that_differ(spark):
+    """The agreement is that of the texts, whether their hashes tell it or not, and the chosen row has its own text."""
+    a, b = "The quick brown fox jumps over the lazy dog and runs away. " * 3, "The QUICK brown fox jumps over the lazy dog, and ran away. " * 3
+    pairs = [(a, b), (a, a.upper().replace(" ", "  ")), (a, "short"), (a, ""), ("Straße und Weg, so lang wie weit", "STRASSE und Weg so lang wie weit")]
+    rows = [(i, m, t, 0.9, 0.1, s) for i, p in enumerate(pairs) for s, (m, t) in enumerate(zip(("apple_vision", "tesseract"), p, strict=True))]
+    df = spark.createDataFrame(rows, "page int, method string, text string, confidence double, image_cover double, seq int")
+    out = layout.choose(df, ["page"])
+    assert out.columns == [*df.columns, "metrics", "score", "agreement"]
+    got = {r["page"]: r for r in out.collect()}
+    assert {p: r["agreement"] for p, r in got.items()} == {i: text.agree(*p) for i, p in enumerate(pairs)}
+    assert got[1]["agreement"] == got[4]["agreement"] == 1.0 and 0.5 < got[0]["agreement"] < 1 and got[2]["agreement"] is None
+    assert all((r["page"], r["method"], r["text"], r["confidence"], r["image_cover"], r["seq"]) in rows for r in got.values()) and len(got) == 5
+    from corpuscle.operators.layout import scored
+
+    plain = {(r["page"], r["seq"]): (r["score"], r["metrics"]) for r in scored(df).collect()}
+    for r in got.values():
+        score, metrics = plain[r["page"], r["seq"]]
+        assert r["metrics"] == metrics and abs(r["score"] - min(1.0, score + 0.08 * max(0.0, (r["agreement"] or 0) - 0.55))) < 1e-9

@@ -291,3 +291,23 @@ def test_chosen_readings_with_texts_that_differ(spark):
     for r in got.values():
         score, metrics = plain[r["page"], r["seq"]]
         assert r["metrics"] == metrics and abs(r["score"] - min(1.0, score + 0.08 * max(0.0, (r["agreement"] or 0) - 0.55))) < 1e-9
+
+
+def test_hashed_grams_against_each_gram(spark):
+    import random
+    import zlib
+
+    import numpy as np
+
+    r = random.Random(4)
+    texts = ["", "ab", "abc", "é", "ééé", "aé日\U0001f600b"] + ["".join(r.choices("abc XYZ.é日\U0001f600\x7f\0", k=r.randint(0, 200))) for _ in range(300)]
+    for dim, n in ((64, 3), (10, 2)):
+        for t in texts:
+            v = np.zeros(dim)
+            for i in range(max(0, len(t) - n + 1)):
+                h = zlib.crc32(t[i : i + n].encode())
+                v[h % dim] += 1.0 if h >> 31 else -1.0
+            assert (similarity.hashed_grams(t, dim, n) == v).all()
+    rows = spark.createDataFrame([("The same text",), ("ab",), ("ab",)], "text string")
+    got = sorted(sum(x * x for x in r["vector"]) for r in similarity.encode_hashed(rows).collect())
+    assert got[0] == 0 and abs(got[1] - 1) < 1e-6 and len(got) == 2

@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from corpuscle.operators.state import save_pages
 from corpuscle.sources.io import names, put, remove
@@ -76,30 +74,16 @@ def new_texts(stream: DataFrame, key: str = "text_sha256") -> DataFrame:
     return stream.dropDuplicates([key])
 
 
-_DECISION = "source_sha256 string, page_number int, created_at timestamp, event_id string, reviewer string, decision string"
-
-
 def latest_decisions(events: DataFrame) -> DataFrame:
-    """The latest review event of each page as a stream of updates, by time and then id; late events don't undo later ones."""
-
-    def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        best = state.get if state.exists else None
-        changed = False
-        for pdf in parts:
-            for r in pdf.itertuples(index=False):
-                row = (r.created_at.value // 1000, r.event_id, r.reviewer, r.decision)
-                if best is None or row[:2] > tuple(best[:2]):
-                    best, changed = row, True
-        if changed:
-            state.update(best)
-            yield pd.DataFrame([(key[0], key[1], pd.Timestamp(best[0] * 1000), *best[1:])], columns=["source_sha256", "page_number", "created_at", "event_id", "reviewer", "decision"])
+    """The latest review event of each page as a stream of updates, by time and then id; late events don't undo later ones.
 
-    state = "micros long, event_id string, reviewer string, decision string"
-    return events.groupBy("source_sha256", "page_number").applyInPandasWithState(update, _DECISION, state, "update", GroupStateTimeout.NoTimeout)
+    The state is that of a native aggregation: a page that only late events meet is sent again as it was.
+    """
+    return latest_decisions_batch(events)
 
 
 def latest_decisions_batch(events: DataFrame) -> DataFrame:
-    """The same over all events at once."""
+    """The same over all events at once, as one row a page."""
     last = F.max_by(F.struct("created_at", "event_id", "reviewer", "decision"), F.struct("created_at", "event_id"))
     return events.groupBy("source_sha256", "page_number").agg(last.alias("l")).select("source_sha256", "page_number", "l.*")
 

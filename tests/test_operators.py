@@ -311,3 +311,19 @@ def test_hashed_grams_against_each_gram(spark):
     rows = spark.createDataFrame([("The same text",), ("ab",), ("ab",)], "text string")
     got = sorted(sum(x * x for x in r["vector"]) for r in similarity.encode_hashed(rows).collect())
     assert got[0] == 0 and abs(got[1] - 1) < 1e-6 and len(got) == 2
+
+
+def test_late_decisions_without_python(spark, tmp_path):
+    import json
+
+    from corpuscle.streaming import ingest
+
+    rows = [("e2", "2024-01-02 00:00:00", "keep"), ("e1", "2024-01-01 00:00:00", "drop"), ("e3", "2024-01-02 00:00:00", "edit"), ("e0", "2024-01-02 00:00:00", "late")]
+    (tmp_path / "in").mkdir()
+    for i, (e, at, what) in enumerate(rows):
+        (tmp_path / "in" / f"{i}.json").write_text(json.dumps({"event_id": e, "source_sha256": "s", "page_number": 1, "created_at": at, "reviewer": "r", "decision": what}))
+    out = ingest.latest_decisions(ingest.read_files(spark, str(tmp_path / "in"), ingest.REVIEW, 1))
+    assert "Pandas" not in out._jdf.queryExecution().analyzed().toString()
+    seen = []
+    out.writeStream.outputMode("update").foreachBatch(lambda b, n: seen.append([r["decision"] for r in b.collect()])).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    assert [x for b in seen for x in b][-1] == "edit" and all(len(b) <= 1 for b in seen)
